@@ -166,3 +166,47 @@ ORACLE: dict[str, str] = {
     "kpi_total_json": _with(STARTUP, DAU, ORDERINFO) + _kpi_json(P.DAU_DATE) + " UNION ALL "
                       + _kpi_json(P.ORDER_DATE),
 }
+
+
+# ------------------------------------------------------------- joins
+
+_SALE = """SELECT d.id AS order_detail_id, i.id AS order_id, i.order_status, i.create_time, i.user_id,
+       d.sku_id, TRY_CAST(d.order_price AS DOUBLE) AS sku_price, d.sku_name,
+       substr(i.create_time, 1, 10) AS dt"""
+_IN_INTERVAL = (f"d.arrival_ms BETWEEN i.create_ms - {P.JOIN_INTERVAL_MS} "
+                f"AND i.create_ms + {P.JOIN_INTERVAL_MS}")
+_SALE_INTERVAL = (f"{_SALE} FROM orderinfo i JOIN orderdetail d ON i.id = d.order_id "
+                  f"AND {_IN_INTERVAL}")
+
+ORACLE.update({
+    "order_detail_full_outer": _with(ORDERINFO, ORDERDETAIL) + """
+        SELECT coalesce(i.id, d.order_id) AS order_id, d.id AS order_detail_id,
+               coalesce(i.batch, d.batch) AS batch, i.id IS NOT NULL AS has_info,
+               d.id IS NOT NULL AS has_detail
+        FROM (SELECT id, create_date AS batch FROM orderinfo) i
+        FULL OUTER JOIN (SELECT id, order_id, strftime(arrival_ts, '%Y-%m-%d') AS batch
+                         FROM orderdetail) d
+          ON i.id = d.order_id AND i.batch = d.batch""",
+    "sale_join": _with(ORDERINFO, ORDERDETAIL) + f"{_SALE} FROM orderinfo i JOIN orderdetail d "
+                 "ON i.id = d.order_id",
+    "sale_join_interval": _with(ORDERINFO, ORDERDETAIL) + _SALE_INTERVAL,
+    "sale_unmatched": _with(ORDERINFO, ORDERDETAIL) + f"""
+        SELECT 'order_info' AS side, i.id AS id, i.id AS order_id FROM orderinfo i
+        WHERE NOT EXISTS (SELECT 1 FROM orderdetail d WHERE i.id = d.order_id AND {_IN_INTERVAL})
+        UNION ALL
+        SELECT 'order_detail', d.id, d.order_id FROM orderdetail d
+        WHERE NOT EXISTS (SELECT 1 FROM orderinfo i WHERE i.id = d.order_id AND {_IN_INTERVAL})""",
+    "sale_enriched": _with(ORDERINFO, ORDERDETAIL, USERS) + f"""
+        SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time, s.user_id, s.sku_id,
+               u.gender AS user_gender, {_age('u.birthday', P.AS_OF)} AS user_age,
+               u.user_level, s.sku_price, s.sku_name, s.dt
+        FROM ({_SALE_INTERVAL}) s JOIN users u ON s.user_id = u.id""",
+    "distinct_users": _with(ORDERINFO, ORDERDETAIL) + f"SELECT DISTINCT user_id FROM ({_SALE_INTERVAL})",
+    "user_cache_semi": _with(ORDERINFO, ORDERDETAIL, USERS) + f"""
+        SELECT * FROM users WHERE id IN (SELECT user_id FROM ({_SALE_INTERVAL}))""",
+    "detail_latest_by_key": _with(ORDERDETAIL) + """
+        SELECT id, order_id, sku_name, sku_id, order_price, img_url, sku_num, arrival_ms FROM (
+          SELECT *, row_number() OVER (PARTITION BY order_id, id ORDER BY arrival_ms DESC,
+                 sku_name DESC, sku_id DESC, order_price DESC, img_url DESC, sku_num DESC) AS rn
+          FROM orderdetail) WHERE rn = 1""",
+})
