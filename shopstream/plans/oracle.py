@@ -210,3 +210,46 @@ ORACLE.update({
                  sku_name DESC, sku_id DESC, order_price DESC, img_url DESC, sku_num DESC) AS rn
           FROM orderdetail) WHERE rn = 1""",
 })
+
+
+# ------------------------------------------------------------ alerts
+
+_S_US = P.SLIDE_MS * 1000
+_W_US = P.WINDOW_MS * 1000
+WINDOWED = f"""windowed AS (
+  SELECT mid, uid, eventid, itemid, ts, wstart // 1000 AS window_start_ms,
+         wstart // 1000 + {P.WINDOW_MS} AS window_end_ms
+  FROM (SELECT *, unnest(generate_series(p - {_W_US - _S_US}, p, {_S_US})) AS wstart
+        FROM (SELECT *, epoch_us(event_ts) // {_S_US} * {_S_US} AS p FROM eventlog)))"""
+
+_HITS = """hits AS (
+  SELECT mid, window_start_ms, window_end_ms,
+         count(DISTINCT CASE WHEN eventid = 'coupon' THEN uid END) AS n_uids
+  FROM windowed GROUP BY mid, window_start_ms, window_end_ms
+  HAVING NOT bool_or(eventid = 'clickItem')
+     AND count(DISTINCT CASE WHEN eventid = 'coupon' THEN uid END) >= 3)"""
+
+_DETAILS = """details AS (
+  SELECT w.mid, w.window_start_ms, w.window_end_ms,
+         array_to_string(list_sort(list_distinct(list(w.uid) FILTER (WHERE w.eventid = 'coupon'))), ',') AS uids,
+         array_to_string(list_sort(list_distinct(list(w.itemid) FILTER (WHERE w.eventid = 'coupon'))), ',') AS item_ids,
+         string_agg(w.eventid, ',' ORDER BY w.ts, w.eventid, w.uid, w.itemid) AS events
+  FROM windowed w JOIN hits h ON w.mid = h.mid AND w.window_start_ms = h.window_start_ms
+  GROUP BY w.mid, w.window_start_ms, w.window_end_ms)"""
+
+ORACLE.update({
+    "alert_windows": _with(EVENTLOG, WINDOWED) + """SELECT mid, window_start_ms, window_end_ms,
+        count(*) AS n_events FROM windowed GROUP BY mid, window_start_ms, window_end_ms""",
+    "alert_rule": _with(EVENTLOG, WINDOWED, _HITS) + "SELECT * FROM hits",
+    "alert_items": _with(EVENTLOG, WINDOWED, _HITS, _DETAILS)
+                   + "SELECT mid, window_start_ms, window_end_ms, uids, item_ids FROM details",
+    "alert_events": _with(EVENTLOG, WINDOWED, _HITS, _DETAILS)
+                    + "SELECT mid, window_start_ms, window_end_ms, events FROM details",
+    "alert_docs": _with(EVENTLOG, WINDOWED, _HITS, _DETAILS) + f"""
+        SELECT doc_id, mid, uids, item_ids, events, ts FROM (
+          SELECT mid || '_' || CAST(window_end_ms // {P.DOC_BUCKET_MS} AS VARCHAR) AS doc_id, mid,
+                 uids, item_ids, events, window_end_ms AS ts,
+                 row_number() OVER (PARTITION BY mid || '_' || CAST(window_end_ms // {P.DOC_BUCKET_MS} AS VARCHAR)
+                                    ORDER BY window_end_ms DESC) AS rn
+          FROM details) WHERE rn = 1""",
+})
