@@ -253,3 +253,44 @@ ORACLE.update({
                                     ORDER BY window_end_ms DESC) AS rn
           FROM details) WHERE rn = 1""",
 })
+
+
+# ------------------------------------------------- feeds and collector
+
+_TYPE_O = _pick(TB.CHANGE_TYPES, "o_orderkey")
+_TYPE_L = _pick(TB.CHANGE_TYPES, "l_orderkey + l_linenumber")
+_INSERTS = f"""inserts AS (
+  SELECT '{TB.CDC_DATABASE}' AS database, 'order_info' AS "table", {_TYPE_O} AS type, 1 AS n_rows,
+         o_orderkey AS change_key FROM orders WHERE {_TYPE_O} = 'INSERT'
+  UNION ALL
+  SELECT '{TB.CDC_DATABASE}', 'order_detail', {_TYPE_L}, 1, l_orderkey + l_linenumber
+  FROM lineitem WHERE {_TYPE_L} = 'INSERT')"""
+_CDC_ROWS = f"""cdcrows AS (
+  SELECT '{C.ORDER_INFO_TOPIC}' AS topic, CAST(o_orderkey AS VARCHAR) AS key,
+         '{{"id":"' || CAST(o_orderkey AS VARCHAR) || '","user_id":"' || CAST(o_custkey AS VARCHAR)
+         || '","order_status":"' || o_orderstatus || '","total_amount":"'
+         || CAST(CAST(o_totalprice AS DECIMAL(16,2)) AS VARCHAR) || '","create_time":"'
+         || strftime({_CREATE_TS}, '%Y-%m-%d %H:%M:%S') || '","operate_time":""}}' AS value
+  FROM orders WHERE {_TYPE_O} = 'INSERT'
+  UNION ALL
+  SELECT '{C.ORDER_DETAIL_TOPIC}', CAST(l_orderkey AS VARCHAR),
+         '{{"id":"' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+         || '","order_id":"' || CAST(l_orderkey AS VARCHAR) || '","sku_id":"' || CAST(l_partkey AS VARCHAR)
+         || '","order_price":"' || CAST(CAST(l_extendedprice AS DECIMAL(16,2)) AS VARCHAR)
+         || '","sku_num":"' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || '"}}'
+  FROM lineitem WHERE {_TYPE_L} = 'INSERT')"""
+_STAMPED = """stamped AS (
+  SELECT CASE WHEN event_type = 'signup' THEN 'startup_topic' ELSE 'event_topic' END AS topic,
+         epoch_us(ts) // 1000 + 1000 AS new_ts,
+         strftime(ts + INTERVAL 1 SECOND, '%Y-%m-%d') AS logdate
+  FROM events)"""
+
+ORACLE.update({
+    "topic_scan": _with(EVENTLOG) + "SELECT eventid, count(*) AS n FROM eventlog GROUP BY eventid",
+    "cdc_insert_only": _with(_INSERTS) + "SELECT * FROM inserts",
+    "cdc_rows": _with(_CDC_ROWS) + "SELECT key, value, topic FROM cdcrows",
+    "cdc_route": _with(_CDC_ROWS) + "SELECT topic, count(*) AS n FROM cdcrows GROUP BY topic",
+    "log_stamp_route": _with(_STAMPED) + """SELECT topic, count(*) AS n_logs, min(new_ts) AS min_ts,
+        max(new_ts) AS max_ts, CAST(sum(new_ts) AS BIGINT) AS sum_ts FROM stamped GROUP BY topic""",
+    "log_archive_daily": _with(_STAMPED) + "SELECT logdate, count(*) AS n_logs FROM stamped GROUP BY logdate",
+})
