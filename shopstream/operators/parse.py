@@ -61,11 +61,13 @@ def parse_event(topic: DataFrame, keep: tuple[str, ...] = ("timestamp",)) -> Dat
 
 
 def order_columns(df: DataFrame) -> DataFrame:
-    """create_date/create_hour and masks of an order header.
+    """create_date/create_hour (+ create_month, the table's partition key)
+    and masks of an order header (P9-P12).
 
     Applied once at ingest; masks are not idempotent (a second pass turns
     '**' into '***' and re-masks long digit runs)."""
     return (df.withColumn("create_date", X.create_date("create_time"))
+              .withColumn("create_month", F.substring(X.create_date("create_time"), 1, 7))
               .withColumn("create_hour", X.create_hour("create_time"))
               .withColumn("consignee", X.mask_name("consignee"))
               .withColumn("consignee_tel", X.mask_phone("consignee_tel")))

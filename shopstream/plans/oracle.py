@@ -294,3 +294,15 @@ ORACLE.update({
         max(new_ts) AS max_ts, CAST(sum(new_ts) AS BIGINT) AS sum_ts FROM stamped GROUP BY topic""",
     "log_archive_daily": _with(_STAMPED) + "SELECT logdate, count(*) AS n_logs FROM stamped GROUP BY logdate",
 })
+
+
+# ------------------------------------------- streams equal their batch twins
+
+ORACLE.update({
+    "dau_stream": ORACLE["dau_first_start"],
+    "alert_stream": ORACLE["alert_docs"],
+    "sale_join_stream": ORACLE["sale_join_interval"],
+    "sale_enriched_stream": ORACLE["sale_enriched"],
+    "sink_upsert_roundtrip": ORACLE["order_parse"],
+    "sink_append_roundtrip": ORACLE["sale_join_interval"],
+})

@@ -183,3 +183,40 @@ def q_kpi_total_json(spark, sf):
     a = kpi.kpi_json(kpi.kpi_list(dau, orders, P.DAU_DATE)).select(F.lit(P.DAU_DATE).alias("date"), "json")
     b = kpi.kpi_json(kpi.kpi_list(dau, orders, P.ORDER_DATE)).select(F.lit(P.ORDER_DATE).alias("date"), "json")
     return a.unionByName(b)
+
+
+# ------------------------------------------------------------- sinks
+
+def q_sink_upsert_roundtrip(spark, sf):
+    """Order headers upserted in two overlapping batches (the second
+    re-sends a third of the headers), read back: one row per id."""
+    from ..sinks import tables as sinks
+    from ..session import scratch_path
+    pin_utc(spark)
+    path = scratch_path(spark, "orders_table")
+    rows = order_infos(spark, sf).withColumn("ingest_ms", F.unix_millis("timestamp")).drop("timestamp")
+    first = rows.filter(F.col("create_hour") < "16")
+    second = rows.filter(F.col("create_hour") >= "08")
+    for batch in (first, second):
+        sinks.upsert(batch, path, ["id"], ["ingest_ms"], "create_month", keep="latest",
+                     cluster_by=["create_date"])
+    back = sinks.read_table(spark, path, rows.schema)
+    return back.select(*S.ORDER_INFO_FIELDS, "create_date", "create_hour")
+
+
+def q_sink_append_roundtrip(spark, sf):
+    """K3: sale rows appended per batch id; batch 1 is replayed and must
+    not duplicate (each batch owns its folder)."""
+    from ..operators import joins
+    from ..sinks import tables as sinks
+    from ..session import scratch_path
+    pin_utc(spark)
+    path = scratch_path(spark, "sale_detail_table")
+    sale = joins.interval_join(order_infos(spark, sf), order_details(spark, sf),
+                               interval=P.JOIN_INTERVAL)
+    a = sale.filter(F.col("dt") < "1998-01-01")
+    b = sale.filter(F.col("dt") >= "1998-01-01")
+    sinks.append_batch(a, path, 0)
+    sinks.append_batch(b, path, 1)
+    sinks.append_batch(b, path, 1)
+    return spark.read.parquet(path).drop("batch")
