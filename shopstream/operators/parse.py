@@ -19,10 +19,15 @@ from ..functions import columns as X
 def parse_json(df: DataFrame, fields: list[str], casts: dict[str, str] | None = None,
                value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse ``value_col`` into one column per field; keeps ``keep`` columns
-    and the corrupt-record column (null for good lines)."""
+    and the corrupt-record column (null for good lines).
+
+    The parsed struct is emitted by a generator (``inline`` of a one-element
+    array), so each line is parsed exactly once: filters on parsed fields
+    (``valid``, a join's inferred ``isnotnull(key)``) stay above the generator
+    instead of being pushed below it with a copy of ``from_json`` each."""
     j = F.from_json(F.col(value_col), S.wire_schema(fields),
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT})
-    out = df.select(*keep, j.alias("_j")).select(*keep, "_j.*")
+    out = df.select(*keep, F.inline(F.array(j)))
     for name, typ in (casts or {}).items():
         out = out.withColumn(name, F.expr(f"try_cast(`{name}` as {typ})"))
     return out

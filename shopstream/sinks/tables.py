@@ -56,10 +56,11 @@ def upsert(incoming: DataFrame, path: str, keys: list[str], order: list[str], pa
     # ``files_per_partition`` files, and a hot date is still spread over that
     # many tasks instead of one.
     bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(files_per_partition))
-    (spark.read.parquet(staging).select(*cols).repartition(F.col(partition_col), bucket)
-          .sortWithinPartitions(*(cluster_by or []))
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy(partition_col).parquet(path))
+    out = spark.read.parquet(staging).select(*cols).repartition(F.col(partition_col), bucket)
+    if cluster_by:
+        out = out.sortWithinPartitions(*cluster_by)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col).parquet(path))
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
