@@ -72,19 +72,53 @@ def window_stats(events: DataFrame, window: str = C.ALERT_WINDOW, slide: str = C
                  F.bool_or(_click()).alias("clicked")))
 
 
+def _interval_ms(spec: str) -> int:
+    n, unit = spec.split()
+    return int(n) * {"second": 1000, "seconds": 1000, "minute": 60_000, "minutes": 60_000,
+                     "hour": 3_600_000, "hours": 3_600_000}[unit]
+
+
+def window_stats_panes(events: DataFrame, window: str = C.ALERT_WINDOW, slide: str = C.ALERT_SLIDE,
+                       count_null_uid: bool = False, time_col: str = "event_time") -> DataFrame:
+    """Same result as ``window_stats``, computed from slide-sized panes.
+
+    Events are first reduced to one row per (mid, pane, coupon uid) with the
+    pane's click flag (map-side combined), and only those rows are copied into
+    the window/slide windows that contain the pane. When devices send many
+    events per pane (the reference's 5-s slide copies each event into 60
+    windows) the copies shrink from one per event to one per distinct user."""
+    w_ms, s_ms = _interval_ms(window), _interval_ms(slide)
+    if w_ms % s_ms:
+        raise ValueError("pane form needs the window to be a multiple of the slide")
+    pane = F.window(F.col(time_col), slide)
+    panes = (events.groupBy("mid", F.unix_millis(pane.start).alias("pane_ms"),
+                            _coupon_uid(count_null_uid).alias("coupon_uid"))
+                   .agg(F.bool_or(_click()).alias("clicked")))
+    starts = F.sequence(F.col("pane_ms") - F.lit(w_ms - s_ms), F.col("pane_ms"), F.lit(s_ms))
+    per_window = panes.select("mid", "coupon_uid", "clicked", F.explode(starts).alias("window_start_ms"))
+    return (per_window.groupBy("mid", "window_start_ms")
+            .agg(F.count_distinct("coupon_uid").alias("n_uids"), F.bool_or("clicked").alias("clicked"))
+            .withColumn("window_end_ms", F.col("window_start_ms") + F.lit(w_ms))
+            .select("mid", "window_start_ms", "window_end_ms", "n_uids", "clicked"))
+
+
 def alert_windows(events: DataFrame, window: str = C.ALERT_WINDOW, slide: str = C.ALERT_SLIDE,
-                  min_uids: int = C.ALERT_MIN_UIDS, count_null_uid: bool = False) -> DataFrame:
-    """(mid, window) pairs that raise an alert (F2): no click, >= min_uids."""
-    s = window_stats(events, window, slide, count_null_uid)
+                  min_uids: int = C.ALERT_MIN_UIDS, count_null_uid: bool = False,
+                  panes: bool = False) -> DataFrame:
+    """(mid, window) pairs that raise an alert (F2): no click, >= min_uids.
+    ``panes=True`` computes the same pairs through the pane form."""
+    stats = window_stats_panes if panes else window_stats
+    s = stats(events, window, slide, count_null_uid)
     return (s.filter(~F.col("clicked") & (F.col("n_uids") >= min_uids))
              .select("mid", "window_start_ms", "window_end_ms", "n_uids"))
 
 
 def alert_details(events: DataFrame, window: str = C.ALERT_WINDOW, slide: str = C.ALERT_SLIDE,
-                  min_uids: int = C.ALERT_MIN_UIDS, count_null_uid: bool = False) -> DataFrame:
+                  min_uids: int = C.ALERT_MIN_UIDS, count_null_uid: bool = False,
+                  panes: bool = False) -> DataFrame:
     """Alerting windows with their coupon users, coupon items (A4) and the
     window's event ids ordered by time (A5)."""
-    hits = alert_windows(events, window, slide, min_uids, count_null_uid)
+    hits = alert_windows(events, window, slide, min_uids, count_null_uid, panes)
     w = windowed(events, window, slide).join(
         hits.select("mid", "window_start_ms"), ["mid", "window_start_ms"], "left_semi")
     ordered = F.array_sort(F.collect_list(F.struct("ts", "eventId", "uid", "itemId")))

@@ -35,3 +35,9 @@ def q_alert_docs(spark, sf):
     pin_utc(spark)
     d = alerts.alert_details(event_logs(spark, sf), P.WINDOW, P.SLIDE)
     return alerts.as_text(alerts.alert_documents(d, P.DOC_BUCKET_MS), ["uids", "item_ids", "events"])
+
+
+def q_alert_rule_panes(spark, sf):
+    """The rule through the pane form (same result as alert_rule)."""
+    pin_utc(spark)
+    return alerts.alert_windows(event_logs(spark, sf), P.WINDOW, P.SLIDE, panes=True)

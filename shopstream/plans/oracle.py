@@ -306,3 +306,5 @@ ORACLE.update({
     "sink_upsert_roundtrip": ORACLE["order_parse"],
     "sink_append_roundtrip": ORACLE["sale_join_interval"],
 })
+
+ORACLE["alert_rule_panes"] = ORACLE["alert_rule"]

@@ -75,3 +75,21 @@ def test_window_counts_match_generate(spark):
     assert c.count() == 60  # 5 min / 5 s
     assert c.agg(F.min("window_start_ms"), F.max("window_start_ms")).first() == \
         (T0 + 5 * SEC - 295 * SEC, T0 + 5 * SEC)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.sampled_from(["1", "2", "3", "4", None]),
+                          st.sampled_from(["coupon", "coupon", "clickItem", "addCart"]),
+                          st.integers(min_value=0, max_value=900)), min_size=1, max_size=40))
+def test_pane_form_equals_direct(spark, recs):
+    ev = _events(spark, [(m, u, e, "1", T0 + t * SEC) for m, u, e, t in recs])
+    for null_uid in (False, True):
+        direct = alerts.window_stats(ev, count_null_uid=null_uid)
+        pane = alerts.window_stats_panes(ev, count_null_uid=null_uid)
+        cols = ["mid", "window_start_ms", "window_end_ms", "n_uids", "clicked"]
+        assert sorted(map(tuple, direct.select(*cols).collect())) == \
+            sorted(map(tuple, pane.select(*cols).collect()))
