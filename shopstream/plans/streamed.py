@@ -102,3 +102,24 @@ def q_alert_stream(spark, sf):
     docs = spark.read.parquet(f"{base}/docs").drop("doc_date")
     return alerts.as_text(docs.select("doc_id", "mid", "uids", "item_ids", "events", "ts"),
                           ["uids", "item_ids", "events"])
+
+
+def q_ttl_cache_state(spark, sf):
+    """Order lines buffered per key ``order_id:id`` with a 30-day
+    expiry (scaled from 30 min); a re-sent line replaces the buffered one.
+    Returns the entries that expired by the end of the replay. Rows-only:
+    which entries have expired depends on how far the watermark got."""
+    from ..streaming import ttl_buffer as T
+    pin_utc(spark)
+    base = scratch_path(spark, "ttl_cache_state")
+    topic = TB.order_detail_topic(TB.table(spark, sf, "lineitem")).withColumn(
+        "key", F.concat_ws(":", F.get_json_object("value", "$.order_id"),
+                           F.get_json_object("value", "$.id")))
+    for (part,) in time_slices([topic]):
+        TP.write_topic_dir(part, f"{base}/src")
+        src = TP.read_topic_dir(spark, f"{base}/src", stream=True)
+        q = (T.ttl_buffer(src, "key", "value", "timestamp", P.JOIN_INTERVAL_MS, "1 day").writeStream
+             .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
+             .outputMode("append").trigger(availableNow=True).start())
+        jobs.run_until_done(q)
+    return spark.read.parquet(f"{base}/out")
