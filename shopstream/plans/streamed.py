@@ -9,6 +9,8 @@ query returns the job's sink table, which must equal the batch twin.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,19 @@ SLICES = 4
 AVAILABLE_NOW = {"availableNow": True}
 
 
+@contextmanager
+def state_partitions(spark):
+    """Size the state store by the cluster (one partition per core) while a
+    job's checkpoint is created; the count is fixed in the checkpoint from
+    then on. The session's own setting is restored afterwards."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def time_slices(frames: list[DataFrame], n: int = SLICES, time_col: str = "timestamp"):
     """Cut frames into ``n`` slices of equal time span over their common
     range; yields, per slice, the list of the frames' parts."""
@@ -43,10 +58,11 @@ def q_dau_stream(spark, sf):
     pin_utc(spark)
     base = scratch_path(spark, "dau_stream")
     topic = TB.startup_topic(TB.table(spark, sf, "events"))
-    for (part,) in time_slices([topic]):
-        TP.write_topic_dir(part, f"{base}/src")
-        src = TP.read_topic_dir(spark, f"{base}/src", stream=True)
-        jobs.run_until_done(jobs.dau_job(src, f"{base}/dau", f"{base}/ck", AVAILABLE_NOW))
+    with state_partitions(spark):
+        for (part,) in time_slices([topic]):
+            TP.write_topic_dir(part, f"{base}/src")
+            src = TP.read_topic_dir(spark, f"{base}/src", stream=True)
+            jobs.run_until_done(jobs.dau_job(src, f"{base}/dau", f"{base}/ck", AVAILABLE_NOW))
     schema = dedupe.dau_rows(spark.createDataFrame([], _startup_schema(spark))).schema
     return sinks.read_table(spark, f"{base}/dau", schema).select(*S.DAU_COLUMNS)
 
@@ -65,27 +81,29 @@ def _order_topics(spark, sf):
 def q_sale_join_stream(spark, sf):
     pin_utc(spark)
     base = scratch_path(spark, "sale_join_stream")
-    for info, detail in time_slices(list(_order_topics(spark, sf))):
-        TP.write_topic_dir(info, f"{base}/info")
-        TP.write_topic_dir(detail, f"{base}/detail")
-        q = jobs.sale_join_job(TP.read_topic_dir(spark, f"{base}/info", stream=True),
-                               TP.read_topic_dir(spark, f"{base}/detail", stream=True),
-                               f"{base}/out", f"{base}/ck", P.JOIN_INTERVAL, "1 day", AVAILABLE_NOW)
-        jobs.run_until_done(q)
+    with state_partitions(spark):
+        for info, detail in time_slices(list(_order_topics(spark, sf))):
+            TP.write_topic_dir(info, f"{base}/info")
+            TP.write_topic_dir(detail, f"{base}/detail")
+            q = jobs.sale_join_job(TP.read_topic_dir(spark, f"{base}/info", stream=True),
+                                   TP.read_topic_dir(spark, f"{base}/detail", stream=True),
+                                   f"{base}/out", f"{base}/ck", P.JOIN_INTERVAL, "1 day", AVAILABLE_NOW)
+            jobs.run_until_done(q)
     return spark.read.parquet(f"{base}/out")
 
 
 def q_sale_enriched_stream(spark, sf):
     pin_utc(spark)
     base = scratch_path(spark, "sale_enriched_stream")
-    for info, detail in time_slices(list(_order_topics(spark, sf))):
-        TP.write_topic_dir(info, f"{base}/info")
-        TP.write_topic_dir(detail, f"{base}/detail")
-        q = jobs.sale_detail_job(TP.read_topic_dir(spark, f"{base}/info", stream=True),
-                                 TP.read_topic_dir(spark, f"{base}/detail", stream=True),
-                                 lambda: users(spark, sf), f"{base}/out", f"{base}/ck",
-                                 P.JOIN_INTERVAL, "1 day", P.AS_OF, AVAILABLE_NOW)
-        jobs.run_until_done(q)
+    with state_partitions(spark):
+        for info, detail in time_slices(list(_order_topics(spark, sf))):
+            TP.write_topic_dir(info, f"{base}/info")
+            TP.write_topic_dir(detail, f"{base}/detail")
+            q = jobs.sale_detail_job(TP.read_topic_dir(spark, f"{base}/info", stream=True),
+                                     TP.read_topic_dir(spark, f"{base}/detail", stream=True),
+                                     lambda: users(spark, sf), f"{base}/out", f"{base}/ck",
+                                     P.JOIN_INTERVAL, "1 day", P.AS_OF, AVAILABLE_NOW)
+            jobs.run_until_done(q)
     return spark.read.parquet(f"{base}/out").drop("batch")
 
 
@@ -93,12 +111,13 @@ def q_alert_stream(spark, sf):
     pin_utc(spark)
     base = scratch_path(spark, "alert_stream")
     topic = TB.event_topic(TB.table(spark, sf, "events"))
-    for (part,) in time_slices([topic]):
-        TP.write_topic_dir(part, f"{base}/src")
-        q = jobs.alert_job(TP.read_topic_dir(spark, f"{base}/src", stream=True), f"{base}/docs",
-                           f"{base}/ck", P.WINDOW, P.SLIDE, "1 minute", bucket_ms=P.DOC_BUCKET_MS,
-                           trigger=AVAILABLE_NOW)
-        jobs.run_until_done(q)
+    with state_partitions(spark):
+        for (part,) in time_slices([topic]):
+            TP.write_topic_dir(part, f"{base}/src")
+            q = jobs.alert_job(TP.read_topic_dir(spark, f"{base}/src", stream=True), f"{base}/docs",
+                               f"{base}/ck", P.WINDOW, P.SLIDE, "1 minute", bucket_ms=P.DOC_BUCKET_MS,
+                               trigger=AVAILABLE_NOW)
+            jobs.run_until_done(q)
     docs = spark.read.parquet(f"{base}/docs").drop("doc_date")
     return alerts.as_text(docs.select("doc_id", "mid", "uids", "item_ids", "events", "ts"),
                           ["uids", "item_ids", "events"])
@@ -115,11 +134,12 @@ def q_ttl_cache_state(spark, sf):
     topic = TB.order_detail_topic(TB.table(spark, sf, "lineitem")).withColumn(
         "key", F.concat_ws(":", F.get_json_object("value", "$.order_id"),
                            F.get_json_object("value", "$.id")))
-    for (part,) in time_slices([topic]):
-        TP.write_topic_dir(part, f"{base}/src")
-        src = TP.read_topic_dir(spark, f"{base}/src", stream=True)
-        q = (T.ttl_buffer(src, "key", "value", "timestamp", P.JOIN_INTERVAL_MS, "1 day").writeStream
-             .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
-             .outputMode("append").trigger(availableNow=True).start())
-        jobs.run_until_done(q)
+    with state_partitions(spark):
+        for (part,) in time_slices([topic]):
+            TP.write_topic_dir(part, f"{base}/src")
+            src = TP.read_topic_dir(spark, f"{base}/src", stream=True)
+            q = (T.ttl_buffer(src, "key", "value", "timestamp", P.JOIN_INTERVAL_MS, "1 day").writeStream
+                 .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
+                 .outputMode("append").trigger(availableNow=True).start())
+            jobs.run_until_done(q)
     return spark.read.parquet(f"{base}/out")
