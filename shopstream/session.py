@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def streaming_conf() -> dict[str, str]:
+    """Settings every streaming job runs with: state in RocksDB (native
+    memory and local disk, checkpointed), so state may outgrow the heap."""
+    return {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -22,7 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.driver.memory", "16g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    for k, v in (extra or {}).items():
+    for k, v in {**streaming_conf(), **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -38,22 +45,34 @@ def pin_utc(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) do we make one.
+    Only a local master (tests) may leave it unset and gets a temporary
+    folder; on a cluster every executor would write to its own disk, so that
+    is an error.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        cur = spark.sparkContext.getCheckpointDir()
-        if cur:
-            return cur
-        root = tempfile.mkdtemp(prefix="shopstream-ckpt-")
+        root = spark.sparkContext.getCheckpointDir()
+    if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all "
+                             f"executors share (master is {master})")
+        root = "file://" + tempfile.mkdtemp(prefix="shopstream-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the checkpoint root for one run of one job."""
-    root = checkpoint_root(spark).rstrip("/")
-    if "://" not in root:
-        os.makedirs(root, exist_ok=True)
-    return f"{root}/shopstream/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh sub-folder of the checkpoint root for one run of one job,
+    made through the root's own file system."""
+    return f"{checkpoint_root(spark).rstrip('/')}/shopstream/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts the lineage, and
+    the rows outlive any executor."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
