@@ -59,7 +59,38 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM j GROUP BY rid, doc_id
 """
 
+WINNOWING = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+dw AS (
+  SELECT rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM d),
+iw AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, l, array_to_string(ws[i:i + l - 1], ' ') AS k FROM (
+    SELECT item_id, ws, least(13, len(ws)) AS l, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i
+    FROM iw WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT l FROM win),
+pos AS (
+  SELECT rid, l, i, array_to_string(ws[i:i + l - 1], ' ') AS k FROM (
+    SELECT rid, ws, l, unnest(range(1, len(ws) - l + 2)) AS i FROM dw, sizes WHERE len(ws) >= l)),
+hit AS (SELECT rid, item_id, i, pos.l FROM pos JOIN win ON win.l = pos.l AND win.k = pos.k),
+cov AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + l)) AS p FROM hit) GROUP BY rid),
+its AS (
+  SELECT rid, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS list
+  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS s FROM hit) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM dw LEFT JOIN cov ON cov.rid = dw.rid LEFT JOIN its ON its.rid = dw.rid
+"""
+
 ORACLE = {
+    "op2_winnowing_decontamination": WINNOWING,
     "op6_quality_rules": QUALITY,
     "op8_line_dedup": LINES,
 }

@@ -8,11 +8,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, quality, sharding
+from . import decontaminate, line_dedup, packing, quality, sharding, simhash
 from .common import table
 from .oracle import ORACLE
 
 
+#: The tokenizer file of the packing query; its path is a parameter of the operator.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op5_sampled_splitter_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assign_shards(table(spark, sf_dir, "documents"), shards=40)
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"),
@@ -24,6 +39,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs).select("doc_id", *quality.BASE, "base_failed", "kept")
 
 
+def op7_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pieces(docs, tokenizer_path(), with_ids=False)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -33,8 +53,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = simhash.grouped(docs)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                      F.col("component").alias("component_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op5_sampled_splitter_sharding, op6_quality_rules, op8_line_dedup)
+    ops = (op2_winnowing_decontamination, op5_sampled_splitter_sharding, op6_quality_rules,
+           op7_concatenate_and_cut, op8_line_dedup, op10_golay_simhash)
     return {f.__name__: f for f in ops}
 
 
