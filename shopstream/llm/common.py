@@ -41,6 +41,16 @@ def same(left: DataFrame, right: DataFrame, *cols: str) -> Column:
     return cond
 
 
+def join_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``cols`` in which null equals null; the columns of right
+    other than ``cols`` must not clash with those of left."""
+    theirs = right.select(*[F.col(f"`{c}`").alias(f"_right_{c}" if c in cols else c) for c in right.columns])
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(f"`{c}`").eqNullSafe(F.col(f"`_right_{c}`"))
+    return left.join(theirs, cond, how).drop(*[f"_right_{c}" for c in cols])
+
+
 def spare(taken: list[str], *names: str) -> list[str]:
     """Column names like ``names`` that clash with none of ``taken``
     (Spark compares names without case)."""

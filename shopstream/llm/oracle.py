@@ -59,6 +59,34 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM j GROUP BY rid, doc_id
 """
 
+TOOL_CALLS = r"""
+WITH c AS (
+  SELECT conv_id, turn, text, 'call-' || conv_id || '-' || turn AS call_id,
+         CASE (conv_id + turn) % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'summarise' ELSE 'translate' END AS name
+  FROM conversations WHERE role = 'user'),
+r AS (
+  SELECT conv_id, turn, text AS content, 'call-' || conv_id || '-' || (turn - 1) AS call_id
+  FROM conversations WHERE role = 'assistant'),
+j AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+         coalesce(c.turn, r.turn) AS seen, c.turn, c.text, c.name, r.content,
+         CASE WHEN c.call_id IS NULL THEN 'orphan_result' WHEN r.call_id IS NULL THEN 'no_result'
+              ELSE 'linked' END AS status,
+         CASE WHEN c.call_id IS NULL THEN 'no call'
+              WHEN name = 'search' AND length(c.text) > 300 THEN '$.text: maxLength'
+              WHEN name = 'summarise' AND length(c.text) < 60 THEN '$.text: minLength'
+              WHEN name = 'translate' AND c.turn > 4 THEN '$.turn: maximum' ELSE '' END AS errors
+  FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY seen, call_id) AS position, call_id, name, status,
+       errors = '' AS valid, errors,
+       '{"arguments":' || CASE WHEN status = 'orphan_result' THEN 'null' ELSE
+         '{"text":' || to_json(text)::VARCHAR || ',"turn":' || turn || '}' END
+       || ',"call_id":' || to_json(call_id)::VARCHAR
+       || ',"name":' || CASE WHEN name IS NULL THEN 'null' ELSE to_json(name)::VARCHAR END
+       || ',"result":' || CASE WHEN content IS NULL THEN 'null' ELSE to_json(content)::VARCHAR END || '}' AS message
+FROM j
+"""
+
 WINNOWING = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
 dw AS (
@@ -90,6 +118,7 @@ FROM dw LEFT JOIN cov ON cov.rid = dw.rid LEFT JOIN its ON its.rid = dw.rid
 """
 
 ORACLE = {
+    "op1_tool_call_linking": TOOL_CALLS,
     "op2_winnowing_decontamination": WINNOWING,
     "op6_quality_rules": QUALITY,
     "op8_line_dedup": LINES,

@@ -3,12 +3,13 @@ production parameters, and their DuckDB twins where SQL can say them."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, packing, quality, sharding, simhash
+from . import decontaminate, line_dedup, packing, pii, quality, sharding, simhash, tool_calls
 from .common import table
 from .oracle import ORACLE
 
@@ -22,6 +23,46 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+#: Key of the surrogates; a job passes its own secret.
+SURROGATE_KEY = "surrogate-key"
+
+#: JSON schemas of the tools that the tool log of the chat query uses.
+TOOLS = {
+    "search": {"type": "object", "required": ["text", "turn"], "additionalProperties": False,
+               "properties": {"text": {"type": "string", "maxLength": 300}, "turn": {"type": "integer"}}},
+    "summarise": {"type": "object", "required": ["text"],
+                  "properties": {"text": {"type": "string", "minLength": 60}, "turn": {"type": "integer"}}},
+    "translate": {"type": "object", "required": ["text", "turn"],
+                  "properties": {"text": {"type": "string"}, "turn": {"type": "integer", "maximum": 4}}},
+}
+
+
+def tool_log(chats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A tool log of conversations: each user turn calls a tool with its text,
+    after the call two turns before; the assistant turn behind it answers."""
+    def call_id(turn):
+        return F.concat_ws("-", F.lit("call"), F.col("conv_id").cast("string"), turn.cast("string"))
+
+    tool = F.get(F.array(*[F.lit(t) for t in TOOLS]), F.pmod(F.col("conv_id") + F.col("turn"), F.lit(3)).cast("int"))
+    users = chats.where("role = 'user'")
+    earlier = users.select("conv_id", (F.col("turn") + 2).alias("turn")).distinct().withColumn("prior", F.lit(True))
+    calls = users.join(earlier, ["conv_id", "turn"], "left").select(
+        "conv_id", call_id(F.col("turn")).alias("call_id"), "turn", tool.alias("name"),
+        F.to_json(F.struct("turn", "text")).alias("arguments"),
+        F.when(F.col("prior"), F.array(call_id(F.col("turn") - 2))).otherwise(F.array()).alias("after"))
+    results = chats.where("role = 'assistant'").select(
+        "conv_id", call_id(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    return calls, results
+
+
+def op1_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_log(table(spark, sf_dir, "conversations"))
+    schemas = spark.createDataFrame([(k, json.dumps(v)) for k, v in TOOLS.items()], "name string, schema string")
+    out = tool_calls.formatted(calls, results, schemas)
+    return out.select("conv_id", "position", "call_id", "name", "status", "valid",
+                      F.array_join("errors", "; ").alias("errors"), "message")
+
+
 def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate.judged(docs, table(spark, sf_dir, "benchmark"))
@@ -53,6 +94,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, SURROGATE_KEY)
+
+
 def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = simhash.grouped(docs)
@@ -61,8 +107,8 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op2_winnowing_decontamination, op5_sampled_splitter_sharding, op6_quality_rules,
-           op7_concatenate_and_cut, op8_line_dedup, op10_golay_simhash)
+    ops = (op1_tool_call_linking, op2_winnowing_decontamination, op5_sampled_splitter_sharding, op6_quality_rules,
+           op7_concatenate_and_cut, op8_line_dedup, op9_surrogates, op10_golay_simhash)
     return {f.__name__: f for f in ops}
 
 
