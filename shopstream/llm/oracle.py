@@ -117,7 +117,56 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM dw LEFT JOIN cov ON cov.rid = dw.rid LEFT JOIN its ON its.rid = dw.rid
 """
 
+SUFFIXES = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(coalesce(text, '')) AS hx, strlen(coalesce(text, '')) AS n
+  FROM documents),
+win AS (
+  SELECT rid, doc_id, i, substr(hx, 2 * i + 1, 100) AS k
+  FROM (SELECT rid, doc_id, hx, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50)),
+gone AS (SELECT rid, i FROM (SELECT rid, i, doc_id, min(doc_id) OVER (PARTITION BY k) AS m FROM win) WHERE m < doc_id),
+marked AS (
+  SELECT rid, i, CASE WHEN i <= lag(i) OVER (PARTITION BY rid ORDER BY i) + 50 THEN 0 ELSE 1 END AS fresh FROM gone),
+span AS (
+  SELECT rid, s, min(i) AS a, max(i) + 50 AS z
+  FROM (SELECT rid, i, sum(fresh) OVER (PARTITION BY rid ORDER BY i) AS s FROM marked) GROUP BY rid, s),
+gaps AS (
+  SELECT rid, lag(z, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS x, a AS y FROM span
+  UNION ALL SELECT d.rid, coalesce(max(z), 0), max(n) FROM d LEFT JOIN span ON span.rid = d.rid GROUP BY d.rid),
+kept AS (
+  SELECT d.rid, string_agg(substr(hx, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS hx
+  FROM gaps JOIN d ON d.rid = gaps.rid GROUP BY d.rid),
+cut AS (SELECT rid, sum(z - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY rid)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(kept.hx)) AS kept_sha256
+FROM d JOIN kept ON kept.rid = d.rid LEFT JOIN cut ON cut.rid = d.rid
+"""
+
+BLOCKS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT rid, doc_id, i, array_to_string(ws[i:i + 19], ' ') AS k
+  FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d WHERE len(ws) >= 20)),
+gone AS (
+  SELECT rid, i FROM (
+    SELECT rid, i, doc_id, min(doc_id) OVER (PARTITION BY k) AS m,
+           row_number() OVER (PARTITION BY k, rid ORDER BY i) AS nth FROM win)
+  WHERE m < doc_id OR nth > 1),
+out AS (SELECT DISTINCT rid, unnest(range(i, i + 20)) AS p FROM gone),
+w AS (SELECT rid, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS word FROM d),
+k AS (
+  SELECT w.rid, count(out.p) AS n_removed, string_agg(word, ' ' ORDER BY w.p) FILTER (out.p IS NULL) AS kept
+  FROM w LEFT JOIN out ON out.rid = w.rid AND out.p = w.p GROUP BY w.rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.rid = d.rid
+"""
+
 ORACLE = {
+    "op3_suffix_array_dedup": SUFFIXES,
+    "op4_fixed_block_dedup": BLOCKS,
     "op1_tool_call_linking": TOOL_CALLS,
     "op2_winnowing_decontamination": WINNOWING,
     "op6_quality_rules": QUALITY,

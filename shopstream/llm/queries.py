@@ -9,7 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, packing, pii, quality, sharding, simhash, tool_calls
+from . import (
+    block_dedup,
+    decontaminate,
+    line_dedup,
+    packing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    tool_calls,
+)
 from .common import table
 from .oracle import ORACLE
 
@@ -69,6 +80,16 @@ def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op4_fixed_block_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = block_dedup.repeated_words(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op5_sampled_splitter_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assign_shards(table(spark, sf_dir, "documents"), shards=40)
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"),
@@ -107,8 +128,9 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    ops = (op1_tool_call_linking, op2_winnowing_decontamination, op5_sampled_splitter_sharding, op6_quality_rules,
-           op7_concatenate_and_cut, op8_line_dedup, op9_surrogates, op10_golay_simhash)
+    ops = (op1_tool_call_linking, op2_winnowing_decontamination, op3_suffix_array_dedup, op4_fixed_block_dedup,
+           op5_sampled_splitter_sharding, op6_quality_rules, op7_concatenate_and_cut, op8_line_dedup,
+           op9_surrogates, op10_golay_simhash)
     return {f.__name__: f for f in ops}
 
 
