@@ -194,3 +194,12 @@ def judged(docs: DataFrame, items: DataFrame, per_hit: int = 20, **kw) -> DataFr
             .withColumn("n_items", F.size("hit_items").cast("long"))
             .withColumn("items_sha256", F.sha2(F.array_join("hit_items", ","), 256))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * per_hit >= F.col("n_words"))))
+
+
+def clean(docs: DataFrame, items: DataFrame, **kw) -> DataFrame:
+    """The rows of docs that are not contaminated, with the columns of docs
+    (also those named like a result column)."""
+    text_col = kw.pop("text_col", "text")
+    wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                       F.col(f"`{text_col}`").alias("_text"))
+    return judged(wide, items, text_col="_text", **kw).where(~F.col("contaminated")).select("_row.*")

@@ -13,9 +13,9 @@ Only the partition totals move between the passes. They are broadcast: one
 row of 24 bytes per input partition. Pass 2 is a narrow scan, so neither a hot
 source nor a very long document moves rows to one task.
 
-Ids are cached per chunk of text that the tokenizer never merges across (a
-cut before a space between two non-space characters); the cache holds at most
-``CACHE_CHUNKS`` short chunks per worker and only saves time.
+A byte-level BPE file whose merges are numbered in merge order is run by the
+faster of the two installed engines, built from the same file; any other file
+by its own library. Both give the same ids, which tests compare.
 
 Defined results: a null or empty text is the end id alone; repeated rows and
 equal ids are packed as documents of their own; result columns replace columns
@@ -24,8 +24,8 @@ of the same name, other columns pass through.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,32 +38,53 @@ from pyspark.sql import types as T
 
 from ..session import scratch_path
 
-CHUNK = re.compile(r"(?<=\S)(?= \S)")
-CACHE_CHUNKS = 200_000
-CACHE_CHARS = 40
+# Fixed value: the pre-token pattern of byte-level BPE.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit bytes."""
+    """Token ids of texts; strings of special tokens are ordinary text."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.cache: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        chunked = [CHUNK.split(t) if t else [] for t in texts]
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        known = self.cache
-        new = list({c for cs in chunked for c in cs if c not in known})
-        ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        fresh = {c: np.array(e.ids, dtype="<u4").tobytes() for c, e in zip(new, ids)}
-        out = [b"".join([known.get(c) or fresh[c] for c in cs]) for cs in chunked]
-        known.update((c, v) for c, v in fresh.items() if len(c) <= CACHE_CHARS and v)
-        return out
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        ranks = self._byte_ranks(spec)
+        if ranks:
+            import tiktoken
+            self.fast = tiktoken.Encoding("from-file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        else:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
+            from tokenizers import Tokenizer
+            self.fast, self.tokenizer = None, Tokenizer.from_file(path)
+            self.tokenizer.encode_special_tokens = True
+
+    @staticmethod
+    def _byte_ranks(spec: dict) -> dict[bytes, int] | None:
+        """Bytes of each token to its id, if the file is plain byte-level BPE
+        with ids in merge order; else None."""
+        split, model = spec.get("pre_tokenizer") or {}, spec["model"]
+        plain = (model.get("type") == "BPE" and split.get("type") == "ByteLevel" and split.get("use_regex", True)
+                 and not split.get("add_prefix_space") and not spec.get("normalizer")
+                 and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                                                    "end_of_word_suffix", "byte_fallback", "ignore_merges")))
+        if not plain:
+            return None
+        merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+        if merged != sorted(merged):
+            return None
+        # byte-level files write printable bytes as themselves, the others from U+0100 on
+        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in printable]
+        byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+        added = {t["content"] for t in spec.get("added_tokens", [])}
+        return {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t not in added}
+
+    def encode(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.int32)
+        if self.fast:
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -84,7 +105,7 @@ def tokenised(docs: DataFrame, tokenizer_path: str, text_col: str = "text", end_
     schema = T.StructType([docs.schema[c] for c in kept] + [
         T.StructField("part", T.IntegerType()), T.StructField("part_start", T.LongType()),
         T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    end = np.array([end_id], dtype="<u4").tobytes()
+    end = np.array([end_id], np.int32)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, done = _encoder(tokenizer_path), TaskContext.get().partitionId(), 0
@@ -92,10 +113,10 @@ def tokenised(docs: DataFrame, tokenizer_path: str, text_col: str = "text", end_
             for at in range(0, whole.num_rows, rows_at_once):
                 b = whole.slice(at, rows_at_once)
                 names = b.schema.names
-                docs_ids = [x + end for x in encoder.encode(b.column(names.index(text_col)).to_pylist())]
-                sizes = np.array([len(x) // 4 for x in docs_ids], dtype=np.int64)
+                encoded = [encoder.encode(t.as_py()) for t in b.column(names.index(text_col))]
+                sizes = np.array([len(x) + 1 for x in encoded], dtype=np.int64)
                 ends = np.cumsum(sizes)
-                flat = np.frombuffer(b"".join(docs_ids), dtype="<u4").astype(np.int32)
+                flat = np.concatenate([ids for x in encoded for ids in (x, end)])
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(names.index(c)) for c in kept] + [

@@ -156,18 +156,19 @@ def score(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RUL
           min_words: int = 50) -> DataFrame:
     """docs plus base measures, ``base_failed``, ``broken_rules`` and ``kept``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = ("_words", "_lines", *BASE, "n_lines", "n_exclaims", "n_stop_words", "base_failed",
+    out = ("_words", "_lines", "_nth", *BASE, "n_lines", "n_exclaims", "n_stop_words", "base_failed",
            "broken_rules", "kept")
     keep = [c for c in docs.columns if c.lower() not in out]
     measured = (docs.select(*[F.col(f"`{c}`") for c in keep], words(text).alias("_words"),
                             F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]")).alias("_lines"))
-                .select(*[F.col(f"`{c}`") for c in keep],
+                .select(*[F.col(f"`{c}`") for c in keep], F.monotonically_increasing_id().alias("_nth"),
                         *[v.alias(k) for k, v in base_columns(text).items()]))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     return (measured.withColumn("base_failed", failed)
             .withColumn("broken_rules", verdict(rules))
-            .withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0))
-            .drop("n_lines", "n_exclaims", "n_stop_words"))
+            # _nth keeps a filter on kept above the measures: pushed below, it would repeat them
+            .withColumn("kept", ~F.col("base_failed") & (F.size("broken_rules") == 0) & (F.col("_nth") >= 0))
+            .drop("_nth", "n_lines", "n_exclaims", "n_stop_words"))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
