@@ -12,7 +12,7 @@ the input.
    its blocks are probed elsewhere.
 2. Extend. Only windows around a hit can repeat: windows that contain a
    probe with a hit, and windows whose first block was probed. Each gets a
-   128-bit key of its words, and a second exchange tells whether a smaller id
+   96-bit key of its words, and a second exchange tells whether a smaller id
    holds the same window. Runs of repeated windows are the maximal exact
    repeats; their words go.
 
@@ -90,13 +90,22 @@ class _Windows:
         fits = start + self.size <= self.doc_end
         return np.flatnonzero(fits & (_any_in_window(word_met, self.size - self.block + 1) | word_used[first_block]))
 
-    def window_keys(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit keys of the windows at the given words."""
-        if not len(starts):
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        a = gram_hashes(self.h, self.size)[starts]
-        b = gram_hashes(self.words.hashes(seed=0x5BD1E995), self.size)[starts]
-        return a, b
+    def judged(self, ranges: X.Ranges, replies: list[dict] | None, ids: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Distinct window keys (first 64 bits, last 32 bits, least id), then
+        for every candidate window its start, the place of its key, and
+        whether it repeats inside the shard: a smaller id, or this row earlier."""
+        starts = self.candidates(ranges, *X.answers(replies))
+        if len(starts):
+            a = gram_hashes(self.h, self.size)[starts]
+            b = gram_hashes(self.words.hashes(seed=0x5BD1E995), self.size)[starts] >> np.uint64(32)
+        else:
+            a = b = np.zeros(0, np.uint64)
+        owner = self.doc[starts]
+        ka, kb, least, place = X.distinct_pairs(a, b.astype(np.uint32), ids[owner])
+        order = np.lexsort((starts, place))
+        again = np.zeros(len(starts), bool)
+        again[order[1:]] = ((place[order][1:] == place[order][:-1]) & (owner[order][1:] == owner[order][:-1]))
+        return ka, kb, least, starts, place, again | (ids[owner] > least[place])
 
 
 def _merge_blocks(keys: np.ndarray, row: np.ndarray, more: list[bytes], n: np.ndarray) -> tuple:
@@ -109,8 +118,7 @@ def _merge_blocks(keys: np.ndarray, row: np.ndarray, more: list[bytes], n: np.nd
 
 
 def _merge_least(keys: np.ndarray, row: np.ndarray, more: list[bytes], n: np.ndarray) -> tuple:
-    parts = [X.unpack_all(m) for m in more]
-    second, ids = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    second, ids = X.unpack_keys(more, n)
     out = X.smaller_elsewhere(keys, second, ids)
     return out, np.zeros(len(out), bool)
 
@@ -129,46 +137,24 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield X.sent_batch(list(X.send(row["shard"], ranges, ranges.bits, short,
                                            lambda p: np.packbits(block[p]).tobytes())))
 
-    met = X.ask(shards.mapInArrow(probe, X.SENT), _merge_blocks)
-
-    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, shard in X.shards_of(batches):
-            windows = _Windows(shard, size)
-            starts = windows.candidates(ranges, *X.answers(row["replies"]))
-            a, b = windows.window_keys(starts)
-            ids = shard.ids[windows.doc[starts]]
-            ka, kb, least, place = X.distinct_pairs(a, b, ids)
-            # repeats inside the shard: a smaller id, or the same row earlier
-            order = np.lexsort((starts, place))
-            same_row = np.zeros(len(starts), bool)
-            same_row[order[1:]] = ((place[order][1:] == place[order][:-1])
-                                   & (windows.doc[starts[order]][1:] == windows.doc[starts[order]][:-1]))
-            gone = same_row | (ids > least[place]) if len(starts) else same_row
-            yield pa.RecordBatch.from_arrays([
-                pa.array([row["shard"]], pa.int64()), pa.array([X.pack_all(
-                    ka, kb, least, np.diff(starts, prepend=0).astype(np.int32), place.astype(np.int32), gone)],
-                    pa.binary())], names=["shard", "state"])
-
-    found = materialise(shards.join(met, "shard", "left").select("shard", "ids", "sizes", "blob", "replies")
-                        .mapInArrow(extend, "shard long, state binary"), "window-candidates")
+    met = materialise(X.ask(shards.mapInArrow(probe, X.SENT), _merge_blocks), "probe-replies")
+    asked = shards.join(met.withColumnRenamed("replies", "probed"), "shard", "left")
     wide = X.Ranges(total / 60)
 
     def publish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                ka, kb, least = X.unpack_all(row["state"])[:3]
-                yield X.sent_batch(list(X.send(row["shard"], wide, 64, ka,
-                                               lambda p, kb=kb, least=least: X.pack_all(kb[p], least[p]))))
+        for row, shard in X.shards_of(batches):
+            ka, kb, least, _, _, _ = _Windows(shard, size).judged(ranges, row["probed"], shard.ids)
+            yield X.sent_batch(list(X.send(row["shard"], wide, 64, ka, lambda p: X.pack_key(kb[p], least[p]))))
 
-    told = X.ask(found.mapInArrow(publish, X.SENT), _merge_least)
+    told = X.ask(asked.select("shard", "ids", "sizes", "blob", "probed").mapInArrow(publish, X.SENT), _merge_least)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, shard in X.shards_of(batches):
-            _, _, _, steps, place, gone = X.unpack_all(row["state"])
+            windows = _Windows(shard, size)
+            _, _, _, starts, place, gone = windows.judged(ranges, row["probed"], shard.ids)
             elsewhere, _ = X.answers(row["replies"])
-            starts = np.cumsum(steps, dtype=np.int64)
             starts = starts[gone | elsewhere[place]] if len(starts) else starts
-            words = Words(shard.data, shard.offsets, NON_SPACE, False)
+            words = windows.words
             cover = np.zeros(len(words) + 1, np.int64)
             np.add.at(cover, starts, 1)
             np.add.at(cover, np.minimum(starts + size, len(words)), -1)
@@ -188,6 +174,5 @@ def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 pa.array(runs, pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32())])))],
                 names=["id", "n_words", "n_removed", "kept_sha256", "runs"])
 
-    state = shards.join(found, "shard").join(told, "shard", "left")
-    return state.select("shard", "ids", "sizes", "blob", "state", "replies").mapInArrow(
+    return asked.join(told, "shard", "left").select("shard", "ids", "sizes", "blob", "probed", "replies").mapInArrow(
         cut, "id long, n_words long, n_removed long, kept_sha256 string, runs array<struct<first:int,words:int>>")

@@ -59,6 +59,22 @@ def unpack(data: bytes, dtype, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(dtype).reshape(n)
 
 
+def pack_key(second: np.ndarray, ids: np.ndarray) -> bytes:
+    """The second parts of some keys, with their ids."""
+    a, b = second.tobytes(), pack(ids)
+    return len(a).to_bytes(8, "little") + a + b
+
+
+def unpack_keys(more: list[bytes], n: np.ndarray, dtype=np.uint32) -> tuple[np.ndarray, np.ndarray]:
+    """All second parts and ids of rows that ``pack_key`` made."""
+    second, ids = [], []
+    for m, k in zip(more, n):
+        size = int.from_bytes(m[:8], "little")
+        second.append(np.frombuffer(m[8:8 + size], dtype))
+        ids.append(unpack(m[8 + size:], np.int64, int(k)))
+    return np.concatenate(second), np.concatenate(ids)
+
+
 def pack_all(*arrays: np.ndarray) -> bytes:
     """Several arrays in one value: an Arrow stream of one-row columns."""
     cols = [pa.array([a.tobytes()], pa.binary()) for a in arrays]
