@@ -10,8 +10,8 @@ the lines.
 Hot lines: the range bounds include document and position, so a line held by a
 third of all documents spreads over many ranges. Each range reduces it to one
 partial (largest id, number of documents) before the per-line totals are
-shuffled, and the join that carries the totals back is a plain equi-join whose
-large partitions adaptive execution splits.
+shuffled, and the join that carries the written totals back is a plain
+equi-join whose large partitions adaptive execution splits.
 
 A line's key is the line with whitespace stripped at both ends and A-Z
 lower-cased. Keys of at least ``min_chars`` code points found in at least
@@ -30,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .common import SPACE_CHARS, lower_ascii, same, spare
 
 
@@ -59,13 +60,14 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """(doc, tid, n_dropped, keep) for each document that loses lines; keep is
     the run-length encoded bitmap: runs (start, len) of lines that stay."""
-    lines = keyed_lines(docs, id_col, text_col, min_chars)
+    lines = materialise(keyed_lines(docs, id_col, text_col, min_chars), "line-hashes")
     stream = (lines.repartitionByRange("h1", "h2", "doc", "tid", "pos")
               .sortWithinPartitions("h1", "h2", F.col("doc").desc(), "tid", "pos"))
     # one row per (line, document) within its range, then one per line
     holders = stream.groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
-    common = (holders.groupBy("h1", "h2").agg(F.count("one").alias("n_docs"), F.max("doc").alias("first"))
-              .where(F.col("n_docs") >= min_docs).select("h1", "h2", "first"))
+    common = materialise(
+        holders.groupBy("h1", "h2").agg(F.count("one").alias("n_docs"), F.max("doc").alias("first"))
+        .where(F.col("n_docs") >= min_docs).select("h1", "h2", "first"), "common-lines")
     dropped = (lines.join(common, ["h1", "h2"])
                .where(~F.col("doc").eqNullSafe(F.col("first")))
                .groupBy("doc", "tid", "n_lines", "pos").agg(F.lit(1).alias("one")))
