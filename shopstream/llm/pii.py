@@ -62,7 +62,8 @@ PATTERNS = {
               r"""(?<=(?i:token|secret|password|passwd|api_key|apikey|key)[ ]{0,2}[=:][ ]{0,2}["']{0,1})"""
               r"[A-Za-z0-9+/_\-]++",
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
-    "iban": r"(?=[A-Z]{2}[0-9])(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
+    "iban": r"(?=[A-Z]{2}[0-9])(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z]{4})?(?: ?[0-9]{4}){2,7}"
+            r"(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"(?=[0-9])(?<![\p{N}\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}\-])",
     "card": r"(?=[0-9])(?<!\p{N})(?:[0-9]{13,19}|[0-9]{4}[ \-][0-9]{4}[ \-][0-9]{4}[ \-][0-9]{1,7})(?!\p{N})",
     "ip": rf"(?=[0-9])(?<![\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\p{{N}}|\.\p{{N}})",
