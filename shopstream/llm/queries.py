@@ -81,7 +81,7 @@ def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+    out = suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"), scan=True)
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
