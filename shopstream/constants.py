@@ -3,6 +3,7 @@
 # Topic names.
 STARTUP_TOPIC = "startup_topic"
 EVENT_TOPIC = "event_topic"
+DEAD_TOPIC = "dead_letter_topic"
 ORDER_INFO_TOPIC = "order_info_topic"
 ORDER_DETAIL_TOPIC = "order_detail_topic"
 
@@ -23,8 +24,8 @@ JOIN_TTL = "30 minutes"
 # Age uses 365-day years of milliseconds.
 MS_PER_YEAR = 1000 * 60 * 60 * 24 * 365
 
-# Change feed subscription, tables and row event type.
-CDC_SUBSCRIPTION = r"gmall1128\..*"
+# Change feed subscription (a parameter) and, as fixed values, tables and row event type.
+CDC_SUBSCRIPTION = r"shop\..*"
 CDC_TABLE_TOPICS = {"order_info": ORDER_INFO_TOPIC, "order_detail": ORDER_DETAIL_TOPIC}
 CDC_INSERT = "INSERT"
 CDC_ROWDATA = "ROWDATA"
@@ -42,4 +43,4 @@ AREAS = ["beijing", "shanghai", "guangdong", "hebei", "heilongjiang", "shandong"
 OSES = ["ios", "android"]
 VERSIONS = ["1.2.0", "1.1.2", "1.1.3", "1.1.1"]
 CHANNELS = ["xiaomi", "huawei", "wandoujia", "360", "tencent", "baidu", "website", "apple"]
-APP_ID = "gmall"
+APP_ID = "shop"

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas as S
 
 
 def _pick_per_key(df: DataFrame, keys: list[str], order: list[str], latest: bool) -> DataFrame:
@@ -67,9 +66,3 @@ def new_devices(startup_batch: DataFrame, seen_dau: DataFrame) -> DataFrame:
     Seen set and batch are matched on the log's own date (the reference read
     the seen set under the processing date, Q6)."""
     return first_per_key(not_seen(dau_rows(startup_batch), seen_dau, DAU_KEY), DAU_KEY, DAU_ORDER)
-
-
-def merge_first(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Exact earliest row across batches: union and keep the first per key."""
-    cols = S.DAU_COLUMNS
-    return first_per_key(existing.select(*cols).unionByName(incoming.select(*cols)), DAU_KEY, DAU_ORDER)

@@ -16,23 +16,28 @@ from .. import constants as C
 
 def stamp(logs: DataFrame, now: Column | None = None, value_col: str = "value") -> DataFrame:
     """Set ``ts`` (epoch ms) to ``now`` (default: current time; a file or
-    Kafka source passes its arrival timestamp). Field values come back as
-    JSON strings; the typed parsers read strings and numbers alike."""
+    Kafka source passes its arrival timestamp). All other fields keep their
+    JSON types. A line that is not a JSON object, or repeats a key, keeps its
+    raw text and is marked ``malformed``."""
     now_ms = F.unix_millis(now if now is not None else F.current_timestamp())
-    m = F.from_json(F.col(value_col), "map<string,string>")
-    m = F.map_concat(F.map_filter(m, lambda k, v: k != F.lit("ts")),
-                     F.create_map(F.lit("ts"), now_ms.cast("string")))
-    return logs.withColumn(value_col, F.to_json(m))
+    fields = F.expr(f"try_cast(try_parse_json(`{value_col}`) as map<string,variant>)")
+    stamped = F.to_json(F.map_concat(F.map_filter(fields, lambda k, v: k != F.lit("ts")),
+                                     F.create_map(F.lit("ts"), F.parse_json(now_ms.cast("string")))))
+    return (logs.withColumn("malformed", fields.isNull())
+            .withColumn(value_col, F.when(F.col("malformed"), F.col(value_col)).otherwise(stamped)))
 
 
 def route(logs: DataFrame, compat: bool = False, value_col: str = "value") -> DataFrame:
-    """Add ``topic``; key = mid so a device's logs stay ordered."""
+    """Add ``topic``; key = mid so a device's logs stay ordered. Lines
+    marked ``malformed`` go to the dead-letter topic."""
     if compat:
         is_startup = F.col(value_col).contains("startup")
     else:
         is_startup = F.get_json_object(F.col(value_col), "$.logType") == F.lit("startup")
-    return logs.select("*", F.when(is_startup, F.lit(C.STARTUP_TOPIC)).otherwise(F.lit(C.EVENT_TOPIC))
-                       .alias("topic"), F.get_json_object(F.col(value_col), "$.mid").alias("key"))
+    topic = F.when(is_startup, F.lit(C.STARTUP_TOPIC)).otherwise(F.lit(C.EVENT_TOPIC))
+    if "malformed" in logs.columns:
+        topic = F.when(F.col("malformed"), F.lit(C.DEAD_TOPIC)).otherwise(topic)
+    return logs.select("*", topic.alias("topic"), F.get_json_object(F.col(value_col), "$.mid").alias("key"))
 
 
 def archive_columns(logs: DataFrame, time_col: str = "timestamp") -> DataFrame:

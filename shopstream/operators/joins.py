@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import columns as X
 
-INFO_COLS = ["id", "order_status", "create_time", "user_id"]
-DETAIL_COLS = ["id", "order_id", "sku_id", "sku_name", "order_price"]
-
 
 def _info(info: DataFrame, time_col: str) -> DataFrame:
     return info.select(F.col("id").alias("i_id"), F.col("order_status"), F.col("create_time"),
@@ -86,37 +83,26 @@ def orphans(info: DataFrame, detail: DataFrame, interval: str = C.JOIN_TTL,
             info_time: str = "timestamp", detail_time: str = "timestamp") -> DataFrame:
     """Headers with no line and lines with no header within ``interval``
     (the rows the reference's buffer lets expire silently)."""
-    i, d = _info(info, info_time), _detail(detail, detail_time)
+    i = _info(info, info_time).withColumn("has_info", F.lit(True))
+    d = _detail(detail, detail_time).withColumn("has_detail", F.lit(True))
     cond = (F.col("i_id") == F.col("d_order_id")) & within(interval)
-    lone_i = i.join(d, cond, "left_anti").select(
-        F.lit("order_info").alias("side"), F.col("i_id").alias("id"), F.col("i_id").alias("order_id"))
-    lone_d = d.join(i, cond, "left_anti").select(
-        F.lit("order_detail").alias("side"), F.col("d_id").alias("id"), F.col("d_order_id").alias("order_id"))
-    return lone_i.unionByName(lone_d)
+    lone = i.join(d, cond, "full_outer").where(F.col("has_info").isNull() | F.col("has_detail").isNull())
+    is_info = F.col("has_info").isNotNull()
+    return lone.select(F.when(is_info, "order_info").otherwise("order_detail").alias("side"),
+                       F.when(is_info, F.col("i_id")).otherwise(F.col("d_id")).alias("id"),
+                       F.when(is_info, F.col("i_id")).otherwise(F.col("d_order_id")).alias("order_id"))
 
 
-def with_user(sale: DataFrame, users: DataFrame, as_of: str | Column | None = None,
-              broadcast_users: bool = False) -> DataFrame:
+def with_user(sale: DataFrame, users: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """Inner join with users on user_id; unknown users are dropped.
-
-    ``broadcast_users`` should only be set after checking the dimension's
-    size (``dimension_fits``); otherwise Spark/AQE picks the strategy from
-    measured sizes."""
+    Spark picks the strategy from measured sizes."""
     u = users.select(F.col("id").alias("u_id"), F.col("gender").alias("user_gender"),
                      F.col("user_level"), X.user_age("birthday", as_of).alias("user_age"))
-    if broadcast_users:
-        u = F.broadcast(u)
     j = sale.join(u, sale["user_id"] == u["u_id"], "inner")
     return j.select("order_detail_id", "order_id", "order_status", "create_time", "user_id",
                     "sku_id", "user_gender", "user_age", "user_level", "sku_price", "sku_name", "dt")
 
 
-def dimension_fits(dim: DataFrame, max_rows: int) -> bool:
-    """Size check before a broadcast: count the dimension's rows (a cheap
-    job over the key column only) against a bound."""
-    return dim.select(dim.columns[0]).limit(max_rows + 1).count() <= max_rows
-
-
 def distinct_users(sale: DataFrame) -> DataFrame:
     """Distinct user ids of the sale rows, kept distributed."""
     return sale.select("user_id").distinct()

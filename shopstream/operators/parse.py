@@ -2,14 +2,14 @@
 
 Every wire field is read as a string (a JSON number fits a string field; a
 double field would turn a quoted number into NULL) and cast afterwards with
-``try_cast``. Missing fields become null, extra fields are ignored. A line
-that is not a JSON object lands in ``_corrupt_record`` instead of failing the
+``try_cast``. Missing fields become null, extra fields are ignored. A null,
+blank or malformed line lands in ``_corrupt_record`` instead of failing the
 task, and ``quarantine`` returns those lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -27,7 +27,10 @@ def parse_json(df: DataFrame, fields: list[str], casts: dict[str, str] | None =
     instead of being pushed below it with a copy of ``from_json`` each."""
     j = F.from_json(F.col(value_col), S.wire_schema(fields),
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT})
-    out = df.select(*keep, F.inline(F.array(j)))
+    rows = df.select(*keep, F.inline(F.array(F.struct(
+        j.alias("_parsed"), F.coalesce(F.col(value_col), F.lit("")).alias("_raw")))))
+    corrupt = F.when(F.col("_parsed").isNull() | F.col(f"_parsed.{S.CORRUPT}").isNotNull(), F.col("_raw"))
+    out = rows.select(*keep, *[F.col(f"_parsed.`{f}`").alias(f) for f in fields], corrupt.alias(S.CORRUPT))
     for name, typ in (casts or {}).items():
         out = out.withColumn(name, F.expr(f"try_cast(`{name}` as {typ})"))
     return out
@@ -43,6 +46,13 @@ def quarantine(df: DataFrame) -> DataFrame:
     return df.filter(F.col(S.CORRUPT).isNotNull()).select(F.col(S.CORRUPT).alias("value"))
 
 
+def dead_letters(topic: DataFrame, fields: list[str], keep: tuple[str, ...] = ("timestamp",)) -> DataFrame:
+    """Lines of a topic that the parser of ``fields`` does not take, with
+    their arrival: the jobs' dead-letter output."""
+    bad = parse_json(topic, fields, keep=_keep(topic, keep)).filter(F.col(S.CORRUPT).isNotNull())
+    return bad.select(*_keep(topic, keep), F.col(S.CORRUPT).alias("value"))
+
+
 def _keep(df: DataFrame, candidates: tuple[str, ...]) -> tuple[str, ...]:
     return tuple(c for c in candidates if c in df.columns)
 
@@ -99,7 +109,3 @@ def to_json_value(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Record -> one JSON object per row in ``value`` (P6); nulls are omitted."""
     cols = columns or df.columns
     return df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value"))
-
-
-def struct_of(columns: list[str]) -> Column:
-    return F.struct(*[F.col(c) for c in columns])

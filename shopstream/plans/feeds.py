@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cdc, ingest
+from .. import schemas as S
+from ..operators import cdc, ingest, parse
 from ..session import pin_utc, scratch_path
 from ..sources import tables as TB
 from ..sources import topic as TP
@@ -47,6 +48,36 @@ def _stamped(spark, sf):
     return ingest.stamp(logs.withColumn("timestamp", arrival), now=F.col("timestamp"))
 
 
+def _dirty_logs(spark, sf):
+    """Raw logs in which error events came as malformed, blank or repeated-key lines."""
+    ev = TB.table(spark, sf, "events")
+    raw = F.when(F.col("event_type") == "error", F.element_at(F.array(
+        F.concat(F.lit("not json "), F.col("event_id").cast("string")), F.lit("  "), F.lit('{"a":1,"a":2}')),
+        (F.col("event_id") % 3 + 1).cast("int"))).otherwise(F.to_json(TB.event_struct(ev)))
+    return ev.select(F.col("event_id"), raw.alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+def q_event_quarantine(spark, sf):
+    """The dead-letter output of a topic with bad lines, whole texts."""
+    pin_utc(spark)
+    logs = _dirty_logs(spark, sf)
+    bad = parse.dead_letters(logs, S.EVENT_FIELDS, keep=("event_id",))
+    return bad.select("event_id", "value")
+
+
+def q_log_stamp_rows(spark, sf):
+    """P18/F9 row by row: untouched fields keep their types, bad lines their
+    text, and every line its topic."""
+    pin_utc(spark)
+    r = ingest.route(ingest.stamp(_dirty_logs(spark, sf), now=F.col("timestamp")))
+    ok = ~F.col("malformed")
+    return r.select("event_id", "topic", "malformed", F.when(~ok, F.col("value")).alias("raw"),
+                    F.when(ok, F.get_json_object("value", "$.ts")).alias("ts"),
+                    F.when(ok, F.get_json_object("value", "$.mid")).alias("mid"),
+                    F.when(ok, F.get_json_object("value", "$.pageId")).alias("page"),
+                    F.when(ok, F.col("value").contains('"pageId":"')).alias("page_is_text"))
+
+
 def q_log_stamp_route(spark, sf):
     """P18 + F9: server time replaces the client's ts, then each log is routed."""
     pin_utc(spark)

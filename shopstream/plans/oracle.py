@@ -304,7 +304,44 @@ ORACLE.update({
     "sale_join_stream": ORACLE["sale_join_interval"],
     "sale_enriched_stream": ORACLE["sale_enriched"],
     "sink_upsert_roundtrip": ORACLE["order_parse"],
+    "order_stream": ORACLE["order_parse"],
     "sink_append_roundtrip": ORACLE["sale_join_interval"],
 })
 
 ORACLE["alert_rule_panes"] = ORACLE["alert_rule"]
+
+# ------------------------------------------------ dead letters, typed stamping
+
+_DIRTY = f"""dirty AS (
+  SELECT e.event_id, event_type = 'error' AS bad,
+         CASE e.event_id % 3 WHEN 0 THEN 'not json ' || e.event_id WHEN 1 THEN '  '
+              ELSE '{{"a":1,"a":2}}' END AS raw,
+         l.mid, l.pageid, (epoch_us(e.ts) // 1000) AS ts
+  FROM events e JOIN eventlog l ON l.event_id = e.event_id)"""
+
+ORACLE["event_quarantine"] = f"WITH {EVENTLOG}, {_DIRTY}" + """
+SELECT event_id, raw AS value FROM dirty WHERE bad AND event_id % 3 < 2"""
+
+ORACLE["log_stamp_rows"] = f"WITH {EVENTLOG}, {_DIRTY}" + f"""
+SELECT event_id, CASE WHEN bad THEN '{C.DEAD_TOPIC}' ELSE '{C.EVENT_TOPIC}' END AS topic, bad AS malformed,
+       CASE WHEN bad THEN raw END AS raw, CASE WHEN NOT bad THEN ts::VARCHAR END AS ts,
+       CASE WHEN NOT bad THEN mid END AS mid, CASE WHEN NOT bad THEN pageid END AS page,
+       CASE WHEN NOT bad THEN false END AS page_is_text
+FROM dirty"""
+
+# Entries of a keyed buffer as gaps and islands: a put more than the expiry
+# after its predecessor begins a new entry.
+ORACLE["ttl_cache_state"] = f"""
+WITH puts AS (
+  SELECT l_orderkey || ':' || l_orderkey || '-' || l_linenumber AS key,
+         '{{"id":"' || l_orderkey || '-' || l_linenumber || '","order_id":"' || l_orderkey
+         || '","sku_name":"sku_' || l_partkey || '","sku_id":"' || l_partkey || '","order_price":"'
+         || CAST(l_extendedprice AS DECIMAL(16,2)) || '","sku_num":"' || CAST(l_quantity AS INTEGER) || '"}}' AS value,
+         epoch_us(l_shipdate::TIMESTAMP) // 1000 AS put_ms
+  FROM lineitem),
+fresh AS (
+  SELECT *, CASE WHEN put_ms - lag(put_ms) OVER w <= {P.JOIN_INTERVAL_MS} THEN 0 ELSE 1 END AS first
+  FROM puts WINDOW w AS (PARTITION BY key ORDER BY put_ms, value)),
+entry AS (SELECT *, sum(first) OVER (PARTITION BY key ORDER BY put_ms, value) AS nth FROM fresh),
+last AS (SELECT *, row_number() OVER (PARTITION BY key, nth ORDER BY put_ms DESC, value DESC) AS back FROM entry)
+SELECT key, value, put_ms, put_ms + {P.JOIN_INTERVAL_MS} AS expired_ms FROM last WHERE back = 1"""

@@ -197,10 +197,9 @@ def q_sink_upsert_roundtrip(spark, sf):
     rows = order_infos(spark, sf).withColumn("ingest_ms", F.unix_millis("timestamp")).drop("timestamp")
     first = rows.filter(F.col("create_hour") < "16")
     second = rows.filter(F.col("create_hour") >= "08")
-    for batch in (first, second):
-        sinks.upsert(batch, path, ["id"], ["ingest_ms"], "create_month", keep="latest",
-                     cluster_by=["create_date"])
-    back = sinks.read_table(spark, path, rows.schema)
+    for i, batch in enumerate((first, second)):
+        sinks.upsert(batch, path, ["id"], ["ingest_ms"], "create_month", i, cluster_by=["create_date"])
+    back = sinks.read_keyed(spark, path, rows.schema, ["id"], ["ingest_ms"])
     return back.select(*S.ORDER_INFO_FIELDS, "create_date", "create_hour")
 
 
@@ -219,4 +218,4 @@ def q_sink_append_roundtrip(spark, sf):
     sinks.append_batch(a, path, 0)
     sinks.append_batch(b, path, 1)
     sinks.append_batch(b, path, 1)
-    return spark.read.parquet(path).drop("batch")
+    return sinks.read_table(spark, path, sale.schema)

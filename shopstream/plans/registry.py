@@ -6,44 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries as Q
+from . import alerting, feeds, joined, queries, streamed
 from .oracle import ORACLE
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
-    for mod in _modules():
+    for mod in (queries, joined, alerting, feeds, streamed):
         for name in dir(mod):
             if name.startswith("q_"):
                 out[name[2:]] = getattr(mod, name)
     return dict(sorted(out.items()))
 
 
-def _modules():
-    mods = [Q]
-    try:
-        from . import joined as J
-        mods.append(J)
-    except ImportError:
-        pass
-    try:
-        from . import alerting as A
-        mods.append(A)
-    except ImportError:
-        pass
-    try:
-        from . import feeds as FD
-        mods.append(FD)
-    except ImportError:
-        pass
-    try:
-        from . import streamed as ST
-        mods.append(ST)
-    except ImportError:
-        pass
-    return mods
-
-
 def oracles() -> dict[str, str]:
     names = registered()
     return {k: v for k, v in ORACLE.items() if k in names}

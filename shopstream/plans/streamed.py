@@ -11,20 +11,24 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..operators import alerts, dedupe
+from ..operators import alerts, dedupe, parse
 from ..session import pin_utc, scratch_path
 from ..sinks import tables as sinks
 from ..sources import tables as TB
 from ..sources import topic as TP
 from ..streaming import jobs
+from ..streaming.ttl_buffer import ttl_buffer
 from . import params as P
 from .queries import users
 
 SLICES = 4
+SALE_SCHEMA = ("order_detail_id string, order_id string, order_status string, create_time string, user_id string, "
+               "sku_id string, sku_price double, sku_name string, dt string")
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -50,8 +54,17 @@ def time_slices(frames: list[DataFrame], n: int = SLICES, time_col: str = "times
         allt = allt.unionByName(u)
     lo, hi = allt.agg(F.min("t"), F.max("t")).first()
     width = (hi - lo) // n + 1
-    for k in range(n):
-        yield [f.filter(F.floor((F.unix_micros(time_col) - F.lit(lo)) / F.lit(width)) == k) for f in frames]
+    for k in range(n):  # rows without a time come with the first slice
+        at = F.coalesce(F.floor((F.unix_micros(time_col) - F.lit(lo)) / F.lit(width)), F.lit(0))
+        yield [f.filter(at == k) for f in frames]
+
+
+def heartbeat(topic: DataFrame, after: str, value: Column) -> DataFrame:
+    """One topic row later than all others by ``after``: it moves the watermark
+    past every open window. Its own window stays open and is never emitted."""
+    return topic.agg(F.max("timestamp").alias("t")).select(
+        F.lit(None).cast("string").alias("key"), value.alias("value"), F.lit("heartbeat").alias("topic"),
+        (F.col("t") + F.expr(f"INTERVAL {after}")).alias("timestamp")).where("timestamp is not null")
 
 
 def q_dau_stream(spark, sf):
@@ -64,11 +77,11 @@ def q_dau_stream(spark, sf):
             src = TP.read_topic_dir(spark, f"{base}/src", stream=True)
             jobs.run_until_done(jobs.dau_job(src, f"{base}/dau", f"{base}/ck", AVAILABLE_NOW))
     schema = dedupe.dau_rows(spark.createDataFrame([], _startup_schema(spark))).schema
-    return sinks.read_table(spark, f"{base}/dau", schema).select(*S.DAU_COLUMNS)
+    return sinks.read_keyed(spark, f"{base}/dau", schema, dedupe.DAU_KEY, dedupe.DAU_ORDER, "first").select(
+        *S.DAU_COLUMNS)
 
 
 def _startup_schema(spark):
-    from ..operators import parse
     empty = spark.createDataFrame([], "value string, timestamp timestamp")
     return parse.parse_startup(empty).schema
 
@@ -89,7 +102,7 @@ def q_sale_join_stream(spark, sf):
                                    TP.read_topic_dir(spark, f"{base}/detail", stream=True),
                                    f"{base}/out", f"{base}/ck", P.JOIN_INTERVAL, "1 day", AVAILABLE_NOW)
             jobs.run_until_done(q)
-    return spark.read.parquet(f"{base}/out")
+    return spark.read.schema(SALE_SCHEMA).parquet(f"{base}/out")
 
 
 def q_sale_enriched_stream(spark, sf):
@@ -104,42 +117,65 @@ def q_sale_enriched_stream(spark, sf):
                                      lambda: users(spark, sf), f"{base}/out", f"{base}/ck",
                                      P.JOIN_INTERVAL, "1 day", P.AS_OF, AVAILABLE_NOW)
             jobs.run_until_done(q)
-    return spark.read.parquet(f"{base}/out").drop("batch")
+    schema = T._parse_datatype_string(SALE_SCHEMA + ", user_gender string, user_age int, user_level string")
+    return sinks.read_table(spark, f"{base}/out", schema)
+
+
+DOC_SCHEMA = ("doc_id string, mid string, uids array<string>, item_ids array<string>, events array<string>, "
+              "ts long, doc_date string")
 
 
 def q_alert_stream(spark, sf):
     pin_utc(spark)
     base = scratch_path(spark, "alert_stream")
     topic = TB.event_topic(TB.table(spark, sf, "events"))
+    after = "2 days"
+    late = F.to_json(F.struct(F.lit("").alias("mid"), F.unix_millis(F.col("t") + F.expr(f"INTERVAL {after}")).alias("ts")))
+    last = [heartbeat(topic, after, late)]
     with state_partitions(spark):
-        for (part,) in time_slices([topic]):
+        for (part,) in [*time_slices([topic]), last]:
             TP.write_topic_dir(part, f"{base}/src")
             q = jobs.alert_job(TP.read_topic_dir(spark, f"{base}/src", stream=True), f"{base}/docs",
                                f"{base}/ck", P.WINDOW, P.SLIDE, "1 minute", bucket_ms=P.DOC_BUCKET_MS,
                                trigger=AVAILABLE_NOW)
             jobs.run_until_done(q)
-    docs = spark.read.parquet(f"{base}/docs").drop("doc_date")
+    docs = sinks.read_keyed(spark, f"{base}/docs", T._parse_datatype_string(DOC_SCHEMA), ["doc_id"], ["ts"])
     return alerts.as_text(docs.select("doc_id", "mid", "uids", "item_ids", "events", "ts"),
                           ["uids", "item_ids", "events"])
 
 
 def q_ttl_cache_state(spark, sf):
     """Order lines buffered per key ``order_id:id`` with a 30-day
-    expiry (scaled from 30 min); a re-sent line replaces the buffered one.
-    Returns the entries that expired by the end of the replay. Rows-only:
-    which entries have expired depends on how far the watermark got."""
-    from ..streaming import ttl_buffer as T
+    expiry (scaled from 30 min); a re-sent line renews the buffered one.
+    Returns every entry that the replay expires, which is all of them: a
+    heartbeat moves the watermark past the last."""
     pin_utc(spark)
     base = scratch_path(spark, "ttl_cache_state")
     topic = TB.order_detail_topic(TB.table(spark, sf, "lineitem")).withColumn(
         "key", F.concat_ws(":", F.get_json_object("value", "$.order_id"),
                            F.get_json_object("value", "$.id")))
+    last = [heartbeat(topic, "90 days", F.lit(""))]
     with state_partitions(spark):
-        for (part,) in time_slices([topic]):
+        for (part,) in [*time_slices([topic]), last]:
             TP.write_topic_dir(part, f"{base}/src")
             src = TP.read_topic_dir(spark, f"{base}/src", stream=True)
-            q = (T.ttl_buffer(src, "key", "value", "timestamp", P.JOIN_INTERVAL_MS, "1 day").writeStream
+            q = (ttl_buffer(src, "key", "value", "timestamp", P.JOIN_INTERVAL_MS, "1 day").writeStream
                  .format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ck")
                  .outputMode("append").trigger(availableNow=True).start())
             jobs.run_until_done(q)
-    return spark.read.parquet(f"{base}/out")
+    return spark.read.schema("key string, value string, put_ms long, expired_ms long").parquet(f"{base}/out")
+
+
+def q_order_stream(spark, sf):
+    """K2: the order job over a replayed topic, read back one row per id."""
+    pin_utc(spark)
+    base = scratch_path(spark, "order_stream")
+    topic = TB.order_info_topic(TB.table(spark, sf, "orders"))
+    with state_partitions(spark):
+        for (part,) in time_slices([topic]):
+            TP.write_topic_dir(part, f"{base}/src")
+            jobs.run_until_done(jobs.order_job(TP.read_topic_dir(spark, f"{base}/src", stream=True),
+                                               f"{base}/orders", f"{base}/ck", AVAILABLE_NOW))
+    schema = parse.parse_order_info(spark.createDataFrame([], "value string")).schema.add("ingest_ms", "long")
+    back = sinks.read_keyed(spark, f"{base}/orders", schema, ["id"], ["ingest_ms"])
+    return back.select(*S.ORDER_INFO_FIELDS, "create_date", "create_hour")

@@ -1,84 +1,88 @@
-"""Keyed upsert and append sinks on Parquet.
-
-Parquet has no MERGE, so a keyed upsert rewrites only the date partitions a
-batch touches: existing rows of those partitions + incoming rows, one row
-per key by the merge rule, then a dynamic partition overwrite. The merged
-rows are first written to a staging folder under the checkpoint root, which
-cuts the lineage to the files being overwritten and lets a retried job
-restart from the staged copy. Re-running the same batch gives the same
-table (the merge is idempotent), so ``foreachBatch`` replays are safe.
-
-The partition column must come from immutable fields (log date, create
-date, the document's time bucket), or a key could land in two partitions.
+"""Keyed and append sinks on Parquet.
+
+Parquet has no MERGE. A keyed sink writes each batch once, as its own folder
+``batch=<id>`` partitioned by the date column, and the reader resolves the key
+(first or latest row by an order). So a batch costs its own rows, whatever the
+table holds; a replayed batch overwrites only its own folder; a stop at any
+point loses nothing, because no step replaces rows of another batch; and rows
+without a partition value stay (in the null partition).
+
+``compact`` folds finished batches into one. Resolving is idempotent, so a
+reader that sees both the folded copy and its sources gets the same rows, and
+a stop between writing the copy and removing the sources is harmless.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedupe
-from ..session import scratch_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the batches a table holds (one folder each)."""
+    p, fs = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(m[1]) for m in (re.fullmatch(r"batch=(-?\d+)", n) for n in names) if m)
 
 
 def upsert(incoming: DataFrame, path: str, keys: list[str], order: list[str], partition_col: str,
-           keep: str = "latest", files_per_partition: int = 4,
-           cluster_by: list[str] | None = None) -> None:
-    """K1/K2/K4: keyed upsert into a Parquet table partitioned by
-    ``partition_col``; per key keep the ``latest`` or ``first`` row by
-    ``order``. Columns are written by name (P26). ``cluster_by`` sorts rows
-    inside each file so Parquet row-group statistics prune finer than the
-    partition (e.g. month partitions, day lookups)."""
-    spark = incoming.sparkSession
-    cols = incoming.columns
-    # Partition values of one batch: a handful of dates, bounded by the
-    # batch's time span, never by its row count.
-    touched = [r[0] for r in incoming.select(partition_col).distinct().collect()]
-    if not touched:
-        return
-    rows = incoming
-    if _exists(spark, path):
-        old = (spark.read.schema(incoming.schema).parquet(path)
-               .filter(F.col(partition_col).isin(touched)).select(*cols))
-        rows = old.unionByName(incoming)
+           batch_id: int, keep: str = "latest", cluster_by: list[str] | None = None) -> None:
+    """K1/K2/K4: one batch of a keyed table. The batch is reduced to one row
+    per key before it is written; columns are written by name (P26).
+    ``cluster_by`` sorts rows inside files so that row-group statistics prune
+    finer than the partition (e.g. month partitions, day lookups)."""
     pick = dedupe.latest_per_key if keep == "latest" else dedupe.first_per_key
-    merged = pick(rows, keys, order)
-    staging = scratch_path(spark, "upsert-staging")
-    merged.write.mode("overwrite").parquet(staging)
-    # Cluster by (partition, key-hash bucket): each date gets at most
-    # ``files_per_partition`` files, and a hot date is still spread over that
-    # many tasks instead of one.
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(files_per_partition))
-    out = spark.read.parquet(staging).select(*cols).repartition(F.col(partition_col), bucket)
+    rows = pick(incoming, keys, order)
     if cluster_by:
-        out = out.sortWithinPartitions(*cluster_by)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col).parquet(path))
+        rows = rows.sortWithinPartitions(partition_col, *cluster_by)
+    rows.write.mode("overwrite").partitionBy(partition_col).parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
 
+def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All batches of a table; partition values have the schema's types. An
+    unwritten table has no rows."""
+    if not batch_ids(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*[f.name for f in schema])
 
-def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Read a table written by these sinks; partition values stay strings
-    when a schema is given."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
 
+def read_keyed(spark: SparkSession, path: str, schema, keys: list[str], order: list[str],
+               keep: str = "latest") -> DataFrame:
+    """A keyed table with one row per key. A filter on a key that is also the
+    partition column prunes folders."""
+    pick = dedupe.latest_per_key if keep == "latest" else dedupe.first_per_key
+    return pick(read_table(spark, path, schema), keys, order)
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """K3 for ``foreachBatch``: each batch owns the folder ``batch=<id>``, so a
-    replayed batch overwrites its own output instead of duplicating it
-    (the reference's id-less bulk append duplicated on retry, Q18)."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+def compact(spark: SparkSession, path: str, schema, keys: list[str], order: list[str], partition_col: str,
+            keep: str = "latest") -> None:
+    """Fold all finished batches into one of a negative id (never a stream's)
+    and remove them. Run it while no batch is being written."""
+    old = batch_ids(spark, path)
+    if len(old) < 2:
+        return
+    rows = read_keyed(spark, path, schema, keys, order, keep).repartition(partition_col, *keys)
+    folded = min(0, min(old)) - 1
+    rows.write.mode("overwrite").partitionBy(partition_col).parquet(f"{path.rstrip('/')}/batch={folded}")
+    for b in old:
+        p, fs = _fs(spark, f"{path.rstrip('/')}/batch={b}")
+        fs.delete(p, True)
 
 
-def append(df: DataFrame, path: str) -> None:
-    """K3 batch form: plain append."""
-    df.write.mode("append").parquet(path)
+def append_batch(df: DataFrame, path: str, batch_id: int, partition_col: str = "dt") -> None:
+    """K3 for ``foreachBatch``: each batch owns the folder ``batch=<id>``,
+    partitioned by date, so a replayed batch overwrites its own output instead
+    of duplicating it (the reference's id-less bulk append did, Q18)."""
+    (df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col)
+       .parquet(f"{path.rstrip('/')}/batch={batch_id}"))

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 
 
-def read_users(spark: SparkSession, url: str, table: str = "user_info",
-               properties: dict[str, str] | None = None, partition_column: str = "id",
-               lower_bound: int = 0, upper_bound: int = 1 << 31, num_partitions: int = 8) -> DataFrame:
+def read_users(spark: SparkSession, url: str, lower_bound: int, upper_bound: int, num_partitions: int,
+               table: str = "user_info", properties: dict[str, str] | None = None,
+               partition_column: str = "id") -> DataFrame:
+    """``lower_bound`` and ``upper_bound`` are the real key range, which the
+    caller knows or reads first; rows outside it still come, in the end ranges."""
     df = spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
                          upperBound=upper_bound, numPartitions=num_partitions,
                          properties=properties or {})

@@ -32,21 +32,12 @@ USER_SEGMENT = "BUILDING"
 BIRTHDAY_BASE = "1960-01-01"
 BIRTHDAY_SPAN_DAYS = 15000
 CHANGE_TYPES = ["INSERT", "UPDATE", "DELETE"]
-CDC_DATABASE = "gmall1128"
+CDC_DATABASE = "shop"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. An input of fewer files than the session's default
-    parallelism (here: one file of one row group, which one task would read
-    alone) is rebalanced by hash after the pruned scan, so the per-row
-    JSON work uses every core. Large multi-file inputs are read as they are."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < slots:
-        # hash on the key column (every driver table leads with its key):
-        # unlike round-robin it needs no sort to be retry-safe
-        df = df.repartition(slots, df.columns[0])
-    return df
+    """A driver table, read as its files are split."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def epoch_ms(ts: str | Column) -> Column:

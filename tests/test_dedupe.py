@@ -16,7 +16,7 @@ def _dau(spark, recs):
     """recs: (mid, uid, ts) -> DAU-shaped rows."""
     from shopstream.functions import columns as X
     df = spark.createDataFrame(recs, "mid string, uid string, ts long")
-    return df.selectExpr("mid", "uid", "'gmall' as appid", "'x' as area", "'ios' as os",
+    return df.selectExpr("mid", "uid", "'shop' as appid", "'x' as area", "'ios' as os",
                          "'c' as channel", "'startup' as logtype", "'1' as version", "ts") \
              .withColumn("logdate", X.log_date("ts")).withColumn("loghour", X.log_hour("ts"))
 
@@ -42,7 +42,7 @@ def test_dau_tie_broken_by_uid(spark):
 def test_dau_late_exact_form(spark):
     first = dedupe.first_per_key(_dau(spark, [("m", "1", T0 + 5000)]), dedupe.DAU_KEY, dedupe.DAU_ORDER)
     late = _dau(spark, [("m", "2", T0 + 10)])
-    merged = dedupe.merge_first(first, late)
+    merged = dedupe.first_per_key(first.unionByName(late), dedupe.DAU_KEY, dedupe.DAU_ORDER)
     assert rows(merged, "uid", "ts") == [("2", T0 + 10)]
 
 
