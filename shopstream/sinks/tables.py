@@ -80,9 +80,11 @@ def compact(spark: SparkSession, path: str, schema, keys: list[str], order: list
         fs.delete(p, True)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int, partition_col: str = "dt") -> None:
+def append_batch(df: DataFrame, path: str, batch_id: int, date_col: str = "dt") -> None:
     """K3 for ``foreachBatch``: each batch owns the folder ``batch=<id>``,
-    partitioned by date, so a replayed batch overwrites its own output instead
-    of duplicating it (the reference's id-less bulk append did, Q18)."""
-    (df.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col)
-       .parquet(f"{path.rstrip('/')}/batch={batch_id}"))
+    partitioned by the month of ``date_col``, so a replayed batch overwrites
+    its own output instead of duplicating it (the reference's id-less bulk
+    append did, Q18)."""
+    month = f"{date_col}_month"
+    (df.withColumn(month, F.substring(date_col, 1, 7)).hint("rebalance", month).sortWithinPartitions(month, date_col)
+       .write.mode("overwrite").partitionBy(month).parquet(f"{path.rstrip('/')}/batch={batch_id}"))

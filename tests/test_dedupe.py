@@ -83,3 +83,15 @@ def test_first_per_key_idempotent_and_minimal(spark, recs):
         want[(m, day)] = min(want.get((m, day), (t, u)), (t, u))
     assert got == want
     assert len(S.DAU_COLUMNS) == 11
+
+
+def test_kpi_filters_reach_the_partitions(spark):
+    """The date filter of a KPI prunes the stored tables at the scan."""
+    from shopstream.operators import kpi
+    from shopstream.plans import queries as Q
+    sf = "/root/testdata/sf0.001"
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for frame, col in ((kpi.dau_total(Q.stored_dau(spark, sf), "2024-01-15"), "logdate"),
+                       (kpi.amount_total(Q.stored_orders(spark, sf), "1996-06-15"), "create_month")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert f"PartitionFilters: [isnotnull({col}" in plan, plan
