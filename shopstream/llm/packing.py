@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from .common import spare
 
 # Fixed value: the pre-token pattern of byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -144,8 +145,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text", end_id:
 
     new = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     kept = [c for c in stored.columns[:-3] if c.lower() not in new]
+    at_col, offset_col = spare(stored.columns, "at", "part_offset")
+    offsets = offsets.withColumnRenamed("part_offset", offset_col)
     placed = stored.join(F.broadcast(offsets), "part").select(
-        *[F.col(f"`{c}`") for c in kept], (F.col("part_offset") + F.col("part_start")).alias("at"), "ids")
+        *[F.col(f"`{c}`") for c in kept], (F.col(offset_col) + F.col("part_start")).alias(at_col), "ids")
     schema = T.StructType([stored.schema[c] for c in kept] + [T.StructField(c, T.LongType()) for c in new[:6]]
                           + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids)
 
@@ -155,7 +158,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, text_col: str = "text", end_id:
             col = b.column(names.index("ids"))
             off = col.offsets.to_numpy().astype(np.int64)
             flat = col.values.to_numpy(zero_copy_only=False).astype("<u4")
-            at, size = b.column(names.index("at")).to_numpy(), np.diff(off)
+            at, size = b.column(names.index(at_col)).to_numpy(), np.diff(off)
             w0, w1 = at // window, (at + size - 1) // window
             count = w1 - w0 + 1
             row = np.repeat(np.arange(len(at)), count)

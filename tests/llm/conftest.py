@@ -10,7 +10,7 @@ def docs_of(spark):  # noqa: F811
     def make(rows, extra=True):
         df = spark.createDataFrame(rows, "doc_id long, text string")
         if extra:
-            for c in ("shard", "kept", "fp", "component", "n_words", "keep", "tid", "start"):
+            for c in ("shard", "kept", "fp", "component", "n_words", "keep", "tid", "start", "at", "part_offset"):
                 df = df.selectExpr("*", f"'{c}' AS {c}")
         return df.repartition(3) if rows else df
     return make
