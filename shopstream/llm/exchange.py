@@ -107,11 +107,9 @@ class Shard:
         return self.data[self.offsets[d]:self.offsets[d + 1]].tobytes()
 
 
-def shard_table(docs: DataFrame, id_col: str, text_col: str, limit: int = BLOCK_BYTES,
-                scan: bool = False) -> DataFrame:
-    """The written shards of docs. With ``scan`` docs must be a plain scan of
-    files, whose partitions hold the same rows in the same order whenever they
-    are read: the shards are then cut again at each use instead of written."""
+def shard_table(docs: DataFrame, id_col: str, text_col: str, limit: int = BLOCK_BYTES) -> DataFrame:
+    """The written shards of docs. Splits of a scan depend on the cores there
+    are when it is planned, so a shard's name holds only for written rows."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, part = 0, TaskContext.get().partitionId()
         for b in batches:
@@ -126,8 +124,6 @@ def shard_table(docs: DataFrame, id_col: str, text_col: str, limit: int = BLOCK_
     spark = docs.sparkSession
     path = scratch_path(spark, "shards")
     slim = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    if scan:
-        return slim.mapInArrow(step, SHARD)
     slim.mapInArrow(step, SHARD).write.option("compression", "none").parquet(path)
     return spark.read.schema(SHARD).parquet(path)
 
