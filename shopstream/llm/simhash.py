@@ -189,9 +189,10 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shi
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """docs with one document of each component: the smallest id, and of rows
-    that share it the first of the scan. Columns as in docs."""
-    wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                       F.monotonically_increasing_id().alias("_nth"))
+    that share it the first of the scan. Columns as in docs. Rows are written
+    with their number once: a second scan may be split in another way."""
+    wide = materialise(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                                   F.monotonically_increasing_id().alias("_nth")), "numbered")
     slim = wide.select(F.col(f"_row.`{id_col}`").alias("doc"), F.col(f"_row.`{text_col}`").alias("text"), "_nth")
     members = grouped(slim, "doc", "text", **kw)
     order = F.struct(F.col("doc").isNull(), "doc", "_nth")

@@ -1,8 +1,10 @@
 """Results that must not depend on how a scan is split."""
 
+from collections import Counter
+
 import pytest
 
-from shopstream.llm import queries
+from shopstream.llm import queries, simhash
 
 from .test_dedup import brute_bytes
 
@@ -23,3 +25,11 @@ def test_suffix_query_with_cores_lost(spark, prose, tmp_path, other_splits):
     other_splits()
     assert sorted((r.doc_id, r.n_removed, r.kept_sha256) for r in out.collect()) == sorted(
         (r[0], r[2], r[4]) for r in brute_bytes(rows))
+
+
+def test_keep_one_with_cores_lost(spark, prose, tmp_path, other_splits):
+    rows = [(i, prose(60, 500 + i % 20)) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    out = simhash.keep_one(spark.read.parquet(str(tmp_path / "docs")))
+    other_splits()
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(rows[:20])
