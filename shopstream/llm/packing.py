@@ -17,7 +17,8 @@ A byte-level BPE file whose merges are numbered in merge order is run by the
 faster of the two installed engines, built from the same file; any other file
 by its own library. Both give the same ids, which tests compare.
 
-Defined results: a null or empty text is the end id alone; repeated rows and
+Defined results: strings of the file's added tokens in a text become their
+ids; a null or empty text is the end id alone; repeated rows and
 equal ids are packed as documents of their own; result columns replace columns
 of the same name, other columns pass through.
 """
@@ -44,20 +45,35 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 
 class Encoder:
-    """Token ids of texts; strings of special tokens are ordinary text."""
+    """Token ids of texts. With ``added`` the strings of the file's added
+    tokens become their ids, as in the file's own library; without, they are
+    ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        ranks = self._byte_ranks(spec)
+        tokens = [t for t in spec.get("added_tokens") or [] if t["content"]]
+        ranks = self._byte_ranks(spec) if not added or self._plain_added(tokens, spec["model"]) else None
         if ranks:
             import tiktoken
-            self.fast = tiktoken.Encoding("from-file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.fast = tiktoken.Encoding("from-file", pat_str=PATTERN, mergeable_ranks=ranks,
+                                          special_tokens={t["content"]: t["id"] for t in tokens if added})
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
             from tokenizers import Tokenizer
             self.fast, self.tokenizer = None, Tokenizer.from_file(path)
-            self.tokenizer.encode_special_tokens = True
+            self.tokenizer.encode_special_tokens = not added
+
+    @staticmethod
+    def _plain_added(tokens: list[dict], model: dict) -> bool:
+        """Whether both engines find the same added tokens: exact strings of
+        one kind, none of which begins another or is made by merges."""
+        names = [t["content"] for t in tokens]
+        merged = {"".join(m.split(" ") if isinstance(m, str) else m) for m in model.get("merges", ())}
+        return (not any(t.get(k) for t in tokens for k in ("single_word", "lstrip", "rstrip"))
+                and len({bool(t.get("normalized")) for t in tokens}) <= 1
+                and not any(a != b and b.startswith(a) for a in names for b in names)
+                and not any(len(n) == 1 or n in merged for n in names))
 
     @staticmethod
     def _byte_ranks(spec: dict) -> dict[bytes, int] | None:
@@ -84,7 +100,7 @@ class Encoder:
         if not text:
             return np.zeros(0, np.int32)
         if self.fast:
-            return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+            return self.fast.encode_to_numpy(text, allowed_special="all").astype(np.int32)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
 
@@ -93,7 +109,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def _encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, added=True)
     return _ENCODERS[path]
 
 
