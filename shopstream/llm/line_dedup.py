@@ -1,9 +1,9 @@
 """Line dedup: lines that recur across documents are cut from all but one.
 
 Method: every line becomes a 128-bit hash of its key. Hashes are
-range-partitioned and sorted by (hash, document, position), so one ordered
-stream holds the occurrences of a line next to each other, and the first
-occurrence (the largest document id) is the one that stays. The result is one
+range-partitioned and sorted by (hash, document, position), then grouped by
+line and document and by line; the groups do not read the order. The
+occurrences in the largest document id stay. The result is one
 run-length encoded keep bitmap per document, not text; ``apply_bitmaps`` cuts
 the lines.
 
