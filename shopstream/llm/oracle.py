@@ -164,7 +164,90 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_r
 FROM d LEFT JOIN k ON k.rid = d.rid
 """
 
+
+def _centroids(k: int = 8, rounds: int = 10) -> str:
+    """Lloyd's rounds unrolled, in 64-bit integers."""
+    ctes = [f"""kept AS (
+  SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND NOT isnan(x) AND NOT isinf(x))) = 64)""", """
+v AS MATERIALIZED (
+  SELECT rid, vec_id, embedding, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS c
+  FROM kept)""", f"""
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, embedding) - 1 AS cluster, c FROM (
+    SELECT *, sha256('3:' || vec_id) AS h FROM v) ORDER BY h, embedding LIMIT {k})"""]
+    near = """
+a{r} AS MATERIALIZED (
+  SELECT rid, vec_id, c, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS d FROM (
+    SELECT v.rid, v.vec_id, v.c, m.cluster, list_sum(list_transform(
+      list_zip(v.c, m.c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM v, c{r} AS m) GROUP BY rid, vec_id, c)"""
+    for r in range(rounds):
+        ctes.append(near.format(r=r))
+        ctes.append(f"""
+s{r} AS (
+  SELECT cluster, i, sum(x) AS s, count(*) AS n FROM (
+    SELECT cluster, unnest(c) AS x, unnest(range(64)) AS i FROM a{r}) GROUP BY cluster, i),
+c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.cluster, coalesce(n.c, c{r}.c) AS c FROM c{r} LEFT JOIN (
+    SELECT cluster, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY i) AS c FROM s{r} GROUP BY cluster) n
+  ON n.cluster = c{r}.cluster)""")
+    ctes.append(near.format(r=rounds))
+    return "WITH " + ",".join(ctes) + f"""
+SELECT a.vec_id, a.cluster::INTEGER AS cluster, a.d AS distance,
+       (sum(a.d) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+       (sum(a.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.c, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS m ON m.cluster = a.cluster
+"""
+
+
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT rid, lang, source, unnest(ws) AS term FROM d),
+kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+cnt AS MATERIALIZED (
+  SELECT w.lang, source, w.term, count(*) AS n FROM w JOIN kept ON kept.lang = w.lang AND kept.term = w.term
+  GROUP BY w.lang, source, w.term),
+vs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+grp AS MATERIALIZED (
+  SELECT g.lang, g.source, coalesce(t.total, 0) AS total, coalesce(vs.v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM cnt GROUP BY lang, source) t
+    ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN vs ON vs.lang = g.lang),
+price AS MATERIALIZED (
+  SELECT grp.lang, grp.source, kept.term, coalesce(cnt.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(cnt.n, 0) + 1)) // (grp.total + grp.v) AS p
+  FROM grp JOIN kept ON kept.lang = grp.lang
+  LEFT JOIN cnt ON cnt.lang = grp.lang AND cnt.source = grp.source AND cnt.term = kept.term),
+both_ AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM price a JOIN price b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source
+  GROUP BY a.lang, a.source, b.source),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(both_.value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN both_ ON both_.lang = a.lang AND both_.source = a.source AND both_.item = b.source),
+over_ AS (
+  SELECT p.lang, p.source, p.term, p.p, 1 + (1000000000::HUGEINT * (kept.n + 1)) // (vs.total + vs.v) AS q
+  FROM price p JOIN kept ON kept.lang = p.lang AND kept.term = p.term JOIN vs ON vs.lang = p.lang WHERE p.n > 0),
+term AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+  FROM over_ WHERE p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value, r::INTEGER AS rank FROM ranked WHERE part = 'pair' OR r <= 200
+"""
+
 ORACLE = {
+    "op11_bitplane_centroids": _centroids(),
+    "op12_level_products": DIVERGENCE,
     "op3_suffix_array_dedup": SUFFIXES,
     "op4_fixed_block_dedup": BLOCKS,
     "op1_tool_call_linking": TOOL_CALLS,

@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    bitplanes,
     block_dedup,
     decontaminate,
+    divergence,
     line_dedup,
     packing,
     pii,
+    prefix_hash,
     quality,
     sharding,
     simhash,
@@ -127,10 +130,25 @@ def op10_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("component").alias("component_id"))
 
 
+def op11_bitplane_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bitplanes.clustered(table(spark, sf_dir, "embeddings"))
+    return out.withColumnRenamed("id", "vec_id")
+
+
+def op12_level_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = prefix_hash.edited(table(spark, sf_dir, "documents"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_tool_call_linking, op2_winnowing_decontamination, op3_suffix_array_dedup, op4_fixed_block_dedup,
            op5_sampled_splitter_sharding, op6_quality_rules, op7_concatenate_and_cut, op8_line_dedup,
-           op9_surrogates, op10_golay_simhash)
+           op9_surrogates, op10_golay_simhash, op11_bitplane_centroids, op12_level_products,
+           op13_prefix_fingerprints)
     return {f.__name__: f for f in ops}
 
 
