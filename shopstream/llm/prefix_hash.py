@@ -44,8 +44,9 @@ MODS = (np.uint64(2147483647), np.uint64(2147483629))
 BASES = (np.uint64(1103515245), np.uint64(1640531527))
 PIECE = 1 << 18
 #: Code points of text of one range of ids, and the most ranges: beyond them
-#: ranges grow (a range is sorted and streamed, never held).
-RANGE_CHARS, MOST_RANGES = 32 << 20, 20_000
+#: ranges grow (a range is sorted and streamed, never held). Ranges are dealt to
+#: tasks by hash, so many small ones even out.
+RANGE_CHARS, MOST_RANGES = 2 << 20, 20_000
 _NONE = np.uint64(0)
 
 
@@ -249,7 +250,7 @@ def edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     slim = slim.select("id", "text", F.xxhash64("text").alias("h"))
     n, total = slim.agg(F.count(F.lit(1)), F.sum(F.length("text").cast("long"))).first()
-    count = int(min(MOST_RANGES, max(2 * spark.sparkContext.defaultParallelism, (total or 0) // RANGE_CHARS)))
+    count = int(min(MOST_RANGES, max(16 * spark.sparkContext.defaultParallelism, (total or 0) // RANGE_CHARS)))
     shares = [(i + 1) / count for i in range(count - 1)]
     cuts = slim.agg(F.percentile_approx("id", shares, max(10_000, 10 * count))).first()[0] if shares and n else None
     # ranges in descending id order; null ids are the last
