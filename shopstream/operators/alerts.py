@@ -12,9 +12,8 @@ Plan, in two passes so the expensive part only runs where it is needed:
    aggregate per (mid, window) only bounded values: an exact
    ``count(distinct coupon uid)`` (Spark pre-aggregates by (mid, window,
    uid), spreading a hot device across tasks) and ``bool_or(click)``.
-2. ``alert_details``: keep only the events of windows that alert (semi
-   join on (mid, window start)), and build the sets and the ordered event
-   list there.
+2. ``alert_details``: join the alerting windows' panes with the events on
+   (mid, pane) and build the sets and the ordered event list there.
 
 Windows are [start, end) aligned to the epoch (the reference's batches cover
 (T-5min, T]).
@@ -113,14 +112,22 @@ def alert_windows(events: DataFrame, window: str = C.ALERT_WINDOW, slide: str =
              .select("mid", "window_start_ms", "window_end_ms", "n_uids"))
 
 
-def alert_details(events: DataFrame, window: str = C.ALERT_WINDOW, slide: str = C.ALERT_SLIDE,
-                  min_uids: int = C.ALERT_MIN_UIDS, count_null_uid: bool = False,
-                  panes: bool = False) -> DataFrame:
-    """Alerting windows with their coupon users, coupon items (A4) and the
-    window's event ids ordered by time (A5)."""
-    hits = alert_windows(events, window, slide, min_uids, count_null_uid, panes)
-    w = windowed(events, window, slide).join(
-        hits.select("mid", "window_start_ms"), ["mid", "window_start_ms"], "left_semi")
+def details_of(hits: DataFrame, events: DataFrame, window: str = C.ALERT_WINDOW, slide: str = C.ALERT_SLIDE,
+               time_col: str = "event_time") -> DataFrame:
+    """The coupon users, coupon items (A4) and time-ordered event ids (A5) of
+    alerting windows ``hits``. A window is a row of panes, so events meet the
+    windows by (device, pane): events of other panes are not copied at all. A
+    window that is no multiple of the slide is looked up by its copies."""
+    w_ms, s_ms = _interval_ms(window), _interval_ms(slide)
+    if w_ms % s_ms:
+        w = windowed(events, window, slide, time_col).join(
+            hits.select("mid", "window_start_ms"), ["mid", "window_start_ms"], "left_semi")
+    else:
+        last = F.col("window_start_ms") + F.lit(w_ms - s_ms)
+        panes = hits.select("mid", "window_start_ms", "window_end_ms",
+                            F.explode(F.sequence("window_start_ms", last, F.lit(s_ms))).alias("pane_ms"))
+        pane = F.window(F.col(time_col), slide)
+        w = events.withColumn("pane_ms", F.unix_millis(pane.start)).join(panes, ["mid", "pane_ms"])
     ordered = F.array_sort(F.collect_list(F.struct("ts", "eventId", "uid", "itemId")))
     return (w.groupBy("mid", "window_start_ms", "window_end_ms")
              .agg(F.array_sort(F.collect_set(F.when(_coupon(), F.col("uid")))).alias("uids"),
@@ -128,6 +135,30 @@ def alert_details(events: DataFrame, window: str = C.ALERT_WINDOW, slide: str =
                   F.transform(ordered, lambda e: e["eventId"]).alias("events")))
 
 
+def alert_details(events: DataFrame, window: str = C.ALERT_WINDOW, slide: str = C.ALERT_SLIDE,
+                  min_uids: int = C.ALERT_MIN_UIDS, count_null_uid: bool = False,
+                  panes: bool = False) -> DataFrame:
+    """Alerting windows with their details."""
+    return details_of(alert_windows(events, window, slide, min_uids, count_null_uid, panes), events, window, slide)
+
+
+def pane_state(events: DataFrame, window: str = C.ALERT_WINDOW, slide: str = C.ALERT_SLIDE,
+               delay: str = "10 seconds") -> DataFrame:
+    """W2 as two chained streaming aggregations: one state row per (device,
+    pane, coupon user), then per (device, window) the users and the click flag
+    of its panes. Append mode gives each window once, when the watermark passes
+    its end; no event list is held in state."""
+    if _interval_ms(window) % _interval_ms(slide):
+        raise ValueError("pane form needs the window to be a multiple of the slide")
+    panes = (events.withWatermark("event_time", delay)
+             .groupBy("mid", F.window("event_time", slide).alias("pane"), F.when(_coupon(), F.col("uid")).alias("uid"))
+             .agg(F.bool_or(_click()).alias("clicked")))
+    g = (panes.groupBy("mid", F.window(F.window_time("pane"), window, slide).alias("w"))
+         .agg(F.collect_set("uid").alias("uids"), F.bool_or("clicked").alias("clicked")))
+    return g.select("mid", F.unix_millis("w.start").alias("window_start_ms"),
+                    F.unix_millis("w.end").alias("window_end_ms"), F.size("uids").alias("n_uids"), "clicked")
+
+
 def alert_documents(details: DataFrame, bucket_ms: int = C.ALERT_DOC_BUCKET_MS) -> DataFrame:
     """One document per (mid, time bucket of the window end), the last
     window winning (W8, A13, P17). ``ts`` is the window end, not wall time."""

@@ -57,6 +57,19 @@ def _dirty_logs(spark, sf):
     return ev.select(F.col("event_id"), raw.alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
 
 
+def raw_lines(spark, sf):
+    """What clients post: startup and event logs, and malformed lines in place
+    of error events."""
+    ev = TB.table(spark, sf, "events")
+    good = F.when(F.col("event_type") == "signup", F.to_json(TB.startup_struct(ev))).otherwise(
+        F.to_json(TB.event_struct(ev)))
+    dirty = _dirty_logs(spark, sf).select("event_id", F.col("value").alias("bad"))
+    return (ev.select("event_id", "event_type", good.alias("good"), F.col("ts").cast("timestamp").alias("timestamp"))
+            .join(dirty, "event_id")
+            .select(F.when(F.col("event_type") == "error", F.col("bad")).otherwise(F.col("good")).alias("value"),
+                    "timestamp"))
+
+
 def q_event_quarantine(spark, sf):
     """The dead-letter output of a topic with bad lines, whole texts."""
     pin_utc(spark)

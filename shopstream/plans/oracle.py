@@ -134,7 +134,7 @@ ORACLE: dict[str, str] = {
     "order_time_parts": _with(ORDERINFO) + "SELECT id, create_time, create_date, create_hour FROM orderinfo",
     "mask_name": _with(ORDERINFO) + "SELECT id, consignee FROM orderinfo",
     "mask_phone": _with(ORDERINFO) + "SELECT id, consignee_tel FROM orderinfo",
-    "user_age": _with(USERS) + f"SELECT id, birthday, {_age('birthday', P.AS_OF)} AS user_age FROM users",
+    "user_age": _with(USERS.replace(f"WHERE c_mktsegment = '{TB.USER_SEGMENT}'", "")) + f"SELECT id, birthday, {_age('birthday', P.AS_OF)} AS user_age FROM users",
     "dau_first_start": _with(STARTUP, DAU) + f"SELECT {_DAU_COLS} FROM dau",
     "dau_new_devices": _with(STARTUP) + f"""
         , seen AS (SELECT DISTINCT mid, logdate FROM startup WHERE loghour < '{P.SEEN_BEFORE_HOUR}')
@@ -345,3 +345,48 @@ fresh AS (
 entry AS (SELECT *, sum(first) OVER (PARTITION BY key ORDER BY put_ms, value) AS nth FROM fresh),
 last AS (SELECT *, row_number() OVER (PARTITION BY key, nth ORDER BY put_ms DESC, value DESC) AS back FROM entry)
 SELECT key, value, put_ms, put_ms + {P.JOIN_INTERVAL_MS} AS expired_ms FROM last WHERE back = 1"""
+
+
+# ------------------------------------------------ streams of this round
+
+def _statement(key: str, shift: int) -> str:
+    """Statements that pass the feed's filters."""
+    k = f"({key} + {shift})"
+    return f"{_pick(TB.CHANGE_TYPES, k)} = 'INSERT' AND {k} % 5 <> 0 AND {k} % 11 <> 0"
+
+
+ORACLE["cdc_stream"] = _with(_CDC_ROWS.replace(f"WHERE {_TYPE_O} = 'INSERT'",
+                                               f"WHERE {_statement('o_orderkey', 0)} AND o_orderkey % 7 <> 0")
+                             .replace(f"WHERE {_TYPE_L} = 'INSERT'", f"WHERE {_statement('l_orderkey', 1)}")
+                             ) + "SELECT topic, key, value FROM cdcrows"
+
+ORACLE["sale_unmatched_stream"] = ORACLE["sale_unmatched"]
+
+ORACLE["dau_new_devices_stream"] = _with(STARTUP) + f"""
+SELECT {_DAU_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY mid, logdate
+           ORDER BY loghour < '{P.SEEN_BEFORE_HOUR}', ts, uid, appid, area, os, channel, logtype, version, loghour) AS rn
+  FROM startup) WHERE rn = 1"""
+
+_EDITION = f"""SELECT CAST(c_custkey AS VARCHAR) AS id,
+         CAST((c_nationkey + e) % 5 + 1 AS VARCHAR) AS user_level, e,
+         strftime(DATE '{TB.BIRTHDAY_BASE}' + CAST((c_custkey + {TB.EDITION_DAYS} * e) % {TB.BIRTHDAY_SPAN_DAYS} AS INTEGER),
+                  '%Y-%m-%d') AS birthday, {_pick(['M', 'F'], 'c_custkey')} AS gender
+  FROM customer, (VALUES (0), (1)) AS v(e) WHERE c_mktsegment = '{TB.USER_SEGMENT}'"""
+ORACLE["sale_versions_stream"] = _with(ORDERINFO, ORDERDETAIL, f"editions AS ({_EDITION})") + f"""
+SELECT s.order_detail_id, s.order_id, s.order_status, s.create_time, s.user_id, s.sku_id,
+       u.gender AS user_gender, {_age('u.birthday', P.AS_OF)} AS user_age,
+       u.user_level, s.sku_price, s.sku_name, s.dt
+FROM ({_SALE_INTERVAL}) s JOIN editions u ON s.user_id = u.id
+  AND u.e = CASE WHEN epoch_ms(CAST(s.create_time AS TIMESTAMP)) >= {P.USERS_CHANGE_MS} THEN 1 ELSE 0 END"""
+
+ORACLE["doc_generated_ids"] = f"""
+WITH d AS (
+  SELECT event_id, 'mid_' || (user_id % {TB.EVENT_DEVICES}) AS mid, event_type AS kind,
+         strftime(ts, '%Y-%m-%d') AS day, event_id % 2 AS b FROM events),
+n AS (
+  SELECT *, '{{"mid":"' || mid || '","kind":"' || kind || '","day":"' || day || '"}}' AS content,
+         row_number() OVER (PARTITION BY b, mid, kind, day ORDER BY event_id) AS nth FROM d)
+SELECT CASE WHEN kind = 'purchase' THEN 'evt_' || event_id
+            ELSE sha256('{P.DOC_WRITER}|' || b || '|' || nth || '|' || content) END AS doc_id, mid, kind, day
+FROM n"""

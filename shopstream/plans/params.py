@@ -19,3 +19,6 @@ SLIDE_MS = 5 * 60 * 1000
 DOC_BUCKET_MS = 30 * 60 * 1000
 JOIN_INTERVAL = "30 days"
 JOIN_INTERVAL_MS = 30 * 24 * 3600 * 1000
+#: From when the second edition of the users holds (1998-01-01 UTC).
+USERS_CHANGE_MS = 883_612_800_000
+DOC_WRITER = "documents"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import columns as X
-from ..operators import dedupe, joins, kpi, parse
+from ..operators import dedupe, documents, joins, kpi, parse
 from ..session import pin_utc, scratch_path
 from ..sinks import tables as sinks
 from ..sources import tables as TB
@@ -120,8 +120,9 @@ def q_mask_phone(spark, sf):
 
 
 def q_user_age(spark, sf):
+    """Ages of all customers."""
     pin_utc(spark)
-    return users(spark, sf).select("id", "birthday", X.user_age("birthday", P.AS_OF).alias("user_age"))
+    return TB.user_info(TB.table(spark, sf, "customer"), segment=None).select("id", "birthday", X.user_age("birthday", P.AS_OF).alias("user_age"))
 
 
 # --------------------------------------------------------------- DAU
@@ -233,3 +234,20 @@ def q_sink_append_roundtrip(spark, sf):
     sinks.append_batch(b, path, 1)
     sinks.append_batch(b, path, 1)
     return sinks.read_table(spark, path, sale.schema)
+
+
+def q_doc_generated_ids(spark, sf):
+    """K5: documents with and without an id in two batches; the second is
+    replayed and must not double. Without an id they get one by writer, batch,
+    content and occurrence, so equal documents stay apart."""
+    pin_utc(spark)
+    path = scratch_path(spark, "documents_table")
+    docs = TB.table(spark, sf, "events").select(
+        F.when(F.col("event_type") == "purchase", F.concat(F.lit("evt_"), F.col("event_id").cast("string"))).alias("doc_id"),
+        F.concat(F.lit("mid_"), (F.col("user_id") % TB.EVENT_DEVICES).cast("string")).alias("mid"),
+        F.col("event_type").alias("kind"), F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.pmod(F.col("event_id"), F.lit(2)).alias("b"))
+    for batch in (0, 1, 1):
+        rows = documents.with_ids(docs.where(F.col("b") == batch).drop("b"), "doc_id", P.DOC_WRITER, batch)
+        sinks.upsert(rows, path, ["doc_id"], ["day"], "day", batch, writer=P.DOC_WRITER)
+    return sinks.read_keyed(spark, path, "doc_id string, mid string, kind string, day string", ["doc_id"], ["day"])

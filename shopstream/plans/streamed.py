@@ -15,15 +15,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import constants as C
 from .. import schemas as S
 from ..operators import alerts, dedupe, parse
 from ..session import pin_utc, scratch_path
 from ..sinks import tables as sinks
 from ..sources import tables as TB
 from ..sources import topic as TP
+from ..sources.dimension import Dimension, add_version
 from ..streaming import jobs
 from ..streaming.ttl_buffer import ttl_buffer
 from . import params as P
+from .feeds import raw_lines
 from .queries import users
 
 SLICES = 4
@@ -132,10 +135,16 @@ def q_alert_stream(spark, sf):
     after = "2 days"
     late = F.to_json(F.struct(F.lit("").alias("mid"), F.unix_millis(F.col("t") + F.expr(f"INTERVAL {after}")).alias("ts")))
     last = [heartbeat(topic, after, late)]
+
+    def stored(lo: int, hi: int) -> DataFrame:
+        span = TP.read_topic_dir(spark, f"{base}/src").where(
+            (F.col("timestamp") >= F.timestamp_millis(F.lit(lo))) & (F.col("timestamp") < F.timestamp_millis(F.lit(hi))))
+        return parse.parse_event(span)
+
     with state_partitions(spark):
         for (part,) in [*time_slices([topic]), last]:
             TP.write_topic_dir(part, f"{base}/src")
-            q = jobs.alert_job(TP.read_topic_dir(spark, f"{base}/src", stream=True), f"{base}/docs",
+            q = jobs.alert_job(TP.read_topic_dir(spark, f"{base}/src", stream=True), stored, f"{base}/docs",
                                f"{base}/ck", P.WINDOW, P.SLIDE, "1 minute", bucket_ms=P.DOC_BUCKET_MS,
                                trigger=AVAILABLE_NOW)
             jobs.run_until_done(q)
@@ -179,3 +188,106 @@ def q_order_stream(spark, sf):
     schema = parse.parse_order_info(spark.createDataFrame([], "value string")).schema.add("ingest_ms", "long")
     back = sinks.read_keyed(spark, f"{base}/orders", schema, ["id"], ["ingest_ms"])
     return back.select(*S.ORDER_INFO_FIELDS, "create_date", "create_hour")
+
+
+def _lone_heartbeat(topic: DataFrame, after: str) -> DataFrame:
+    """A last header or line of an order of its own; it stays open itself."""
+    return heartbeat(topic, after, F.to_json(F.struct(F.lit("heartbeat").alias("id"),
+                                                      F.concat(F.lit("of-"), F.col("t").cast("string")).alias("order_id"))))
+
+
+def q_sale_unmatched_stream(spark, sf):
+    """J6 as a stream: headers and lines without a partner, as they expire."""
+    pin_utc(spark)
+    base = scratch_path(spark, "sale_unmatched_stream")
+    topics = list(_order_topics(spark, sf))
+    # behind the later of both topics by more than the interval
+    both = topics[0].unionByName(topics[1])
+    last = [_lone_heartbeat(both, "90 days"), _lone_heartbeat(both, "90 days")]
+    with state_partitions(spark):
+        for info, detail in [*time_slices(topics), last]:
+            TP.write_topic_dir(info, f"{base}/info")
+            TP.write_topic_dir(detail, f"{base}/detail")
+            q = jobs.unmatched_job(TP.read_topic_dir(spark, f"{base}/info", stream=True),
+                                   TP.read_topic_dir(spark, f"{base}/detail", stream=True),
+                                   f"{base}/out", f"{base}/ck", P.JOIN_INTERVAL, "1 day", AVAILABLE_NOW)
+            jobs.run_until_done(q)
+    return spark.read.schema("side string, id string, order_id string").parquet(f"{base}/out")
+
+
+MESSAGE_SCHEMA = "key string, value string, topic string, timestamp timestamp, day string"
+
+
+def q_cdc_stream(spark, sf):
+    """The change feed through the streaming job: statements of
+    other databases, transaction markers, other types, statements without rows
+    and with many."""
+    pin_utc(spark)
+    base = scratch_path(spark, "cdc_stream")
+    feed = TB.change_log(TB.table(spark, sf, "orders"), TB.table(spark, sf, "lineitem"), TB.table(spark, sf, "customer"))
+    for (part,) in time_slices([feed]):
+        TP.write_topic_dir(part, f"{base}/src")
+        jobs.run_until_done(jobs.cdc_job(TP.read_topic_dir(spark, f"{base}/src", stream=True), f"{base}/out",
+                                         f"{base}/ck", AVAILABLE_NOW))
+    tables = [sinks.read_table(spark, f"{base}/out/{t}", MESSAGE_SCHEMA) for t in sorted(C.CDC_TABLE_TOPICS.values())]
+    return tables[0].unionByName(tables[1]).select("topic", "key", "value")
+
+
+def q_log_intake_stream(spark, sf):
+    """Raw lines, good and bad, through the intake job: every
+    topic's table and the archive, row by row."""
+    pin_utc(spark)
+    base = scratch_path(spark, "log_intake_stream")
+    lines = raw_lines(spark, sf).select(F.lit(None).cast("string").alias("key"), "value",
+                                        F.lit("raw").alias("topic"), "timestamp")
+    for (part,) in time_slices([lines]):
+        TP.write_topic_dir(part, f"{base}/src")
+        jobs.run_until_done(jobs.log_intake_job(TP.read_topic_dir(spark, f"{base}/src", stream=True), f"{base}/out",
+                                                f"{base}/ck", AVAILABLE_NOW))
+    topics = [sinks.read_table(spark, f"{base}/out/{t}", MESSAGE_SCHEMA).select(
+        F.lit(t).alias("sink"), "key", "value", "day") for t in jobs.LOG_TABLES]
+    archive = sinks.read_table(spark, f"{base}/out/{jobs.ARCHIVE}", "value string, day string").select(
+        F.lit(jobs.ARCHIVE).alias("sink"), F.lit(None).cast("string").alias("key"), "value", "day")
+    return topics[0].unionByName(topics[1]).unionByName(topics[2]).unionByName(archive)
+
+
+def q_dau_new_devices_stream(spark, sf):
+    """First arrivals, judged by the stored table. The afternoons
+    arrive before the mornings, so an earlier start that comes later is not new."""
+    pin_utc(spark)
+    base = scratch_path(spark, "dau_new_devices_stream")
+    topic = TB.startup_topic(TB.table(spark, sf, "events"))
+    late = F.date_format("timestamp", "HH") >= P.SEEN_BEFORE_HOUR
+    for part in (topic.where(late), topic.where(~late)):
+        for (piece,) in time_slices([part], 2):
+            TP.write_topic_dir(piece, f"{base}/src")
+            jobs.run_until_done(jobs.new_device_job(TP.read_topic_dir(spark, f"{base}/src", stream=True),
+                                                    f"{base}/dau", f"{base}/ck", AVAILABLE_NOW))
+    schema = dedupe.dau_rows(spark.createDataFrame([], _startup_schema(spark))).schema
+    return sinks.read_keyed(spark, f"{base}/dau", schema, dedupe.DAU_KEY, dedupe.DAU_ORDER, "first").select(
+        *S.DAU_COLUMNS)
+
+
+USER_SCHEMA = "id string, login_name string, user_level string, birthday string, gender string, valid_from_ms long"
+
+
+def q_sale_versions_stream(spark, sf):
+    """The sale job with a versioned user dimension: two editions of the
+    users arrive as JSON, and a sale gets the edition of its create time."""
+    pin_utc(spark)
+    base = scratch_path(spark, "sale_versions_stream")
+    customer = TB.table(spark, sf, "customer")
+    for edition, valid in enumerate((0, P.USERS_CHANGE_MS)):
+        lines = parse.to_json_value(TB.user_info(customer, edition))
+        add_version(parse.parse_user_info(lines), f"{base}/users", valid)
+    dimension = Dimension(spark, f"{base}/users", USER_SCHEMA)
+    with state_partitions(spark):
+        for info, detail in time_slices(list(_order_topics(spark, sf))):
+            TP.write_topic_dir(info, f"{base}/info")
+            TP.write_topic_dir(detail, f"{base}/detail")
+            q = jobs.sale_detail_job(TP.read_topic_dir(spark, f"{base}/info", stream=True),
+                                     TP.read_topic_dir(spark, f"{base}/detail", stream=True), dimension,
+                                     f"{base}/out", f"{base}/ck", P.JOIN_INTERVAL, "1 day", P.AS_OF, AVAILABLE_NOW)
+            jobs.run_until_done(q)
+    schema = T._parse_datatype_string(SALE_SCHEMA + ", user_gender string, user_age int, user_level string")
+    return sinks.read_table(spark, f"{base}/out", schema)

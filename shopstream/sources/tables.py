@@ -31,6 +31,9 @@ EVENT_DEVICES = 10
 USER_SEGMENT = "BUILDING"
 BIRTHDAY_BASE = "1960-01-01"
 BIRTHDAY_SPAN_DAYS = 15000
+EDITION_DAYS = 400
+OTHER_DATABASE = "archive"
+CHANGE_TOPIC = "change_feed"
 CHANGE_TYPES = ["INSERT", "UPDATE", "DELETE"]
 CDC_DATABASE = "shop"
 
@@ -155,13 +158,16 @@ def order_detail_topic(lineitem: DataFrame) -> DataFrame:
                   F.col("l_shipdate"))
 
 
-def user_info(customer: DataFrame) -> DataFrame:
-    """The user dimension (what the reference reads over JDBC)."""
+def user_info(customer: DataFrame, edition: int = 0, segment: str | None = USER_SEGMENT) -> DataFrame:
+    """The user dimension (what the reference reads over JDBC). Later editions
+    have other levels and birthdays; segment None takes every customer."""
     c = F.col("c_custkey")
-    bday = F.date_add(F.lit(BIRTHDAY_BASE).cast("date"), (c % BIRTHDAY_SPAN_DAYS).cast("int"))
-    return (customer.filter(F.col("c_mktsegment") == USER_SEGMENT)
+    bday = F.date_add(F.lit(BIRTHDAY_BASE).cast("date"),
+                      ((c + EDITION_DAYS * edition) % BIRTHDAY_SPAN_DAYS).cast("int"))
+    rows = customer if segment is None else customer.filter(F.col("c_mktsegment") == segment)
+    return (rows
             .select(c.cast("string").alias("id"), F.col("c_name").alias("login_name"),
-                    (F.col("c_nationkey") % 5 + 1).cast("string").alias("user_level"),
+                    ((F.col("c_nationkey") + edition) % 5 + 1).cast("string").alias("user_level"),
                     F.date_format(bday, "yyyy-MM-dd").alias("birthday"),
                     _pick(["M", "F"], c).alias("gender")))
 
@@ -176,6 +182,25 @@ def _row_map(struct_fields: list[tuple[str, Column]]) -> Column:
     return F.create_map(*args)
 
 
+def _order_image(orders: DataFrame) -> Column:
+    """After-image of an order row."""
+    return _row_map([("id", F.col("o_orderkey")), ("user_id", F.col("o_custkey")),
+                     ("order_status", F.col("o_orderstatus")),
+                     ("total_amount", F.col("o_totalprice").cast("decimal(16,2)")),
+                     ("create_time", F.date_format(F.timestamp_millis(order_create_ms(orders)),
+                                                   "yyyy-MM-dd HH:mm:ss")),
+                     ("operate_time", F.lit(None))])
+
+
+def _line_image() -> Column:
+    """After-image of an order line."""
+    return _row_map([("id", F.concat_ws("-", F.col("l_orderkey").cast("string"),
+                                        F.col("l_linenumber").cast("string"))),
+                     ("order_id", F.col("l_orderkey")), ("sku_id", F.col("l_partkey")),
+                     ("order_price", F.col("l_extendedprice").cast("decimal(16,2)")),
+                     ("sku_num", F.col("l_quantity").cast("int"))])
+
+
 def change_feed(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
     """Row-change records of three tables of the shop database.
 
@@ -183,21 +208,12 @@ def change_feed(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) ->
     a table nobody subscribes to.
     """
     k = F.col("o_orderkey")
-    o_rows = _row_map([("id", k), ("user_id", F.col("o_custkey")),
-                       ("order_status", F.col("o_orderstatus")),
-                       ("total_amount", F.col("o_totalprice").cast("decimal(16,2)")),
-                       ("create_time", F.date_format(F.timestamp_millis(order_create_ms(orders)),
-                                                     "yyyy-MM-dd HH:mm:ss")),
-                       ("operate_time", F.lit(None))])
+    o_rows = _order_image(orders)
     o = orders.select(F.lit(CDC_DATABASE).alias("database"), F.lit("order_info").alias("table"),
                       _pick(CHANGE_TYPES, k).alias("type"), F.lit(C.CDC_ROWDATA).alias("entry_type"),
                       F.array(o_rows).alias("data"), k.alias("change_key"))
     lk = F.col("l_orderkey") + F.col("l_linenumber")
-    l_rows = _row_map([("id", F.concat_ws("-", F.col("l_orderkey").cast("string"),
-                                          F.col("l_linenumber").cast("string"))),
-                       ("order_id", F.col("l_orderkey")), ("sku_id", F.col("l_partkey")),
-                       ("order_price", F.col("l_extendedprice").cast("decimal(16,2)")),
-                       ("sku_num", F.col("l_quantity").cast("int"))])
+    l_rows = _line_image()
     li = lineitem.select(F.lit(CDC_DATABASE).alias("database"), F.lit("order_detail").alias("table"),
                          _pick(CHANGE_TYPES, lk).alias("type"), F.lit(C.CDC_ROWDATA).alias("entry_type"),
                          F.array(l_rows).alias("data"), lk.alias("change_key"))
@@ -206,3 +222,32 @@ def change_feed(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) ->
                          F.lit("INSERT").alias("type"), F.lit(C.CDC_ROWDATA).alias("entry_type"),
                          F.array(cu_rows).alias("data"), F.col("c_custkey").alias("change_key"))
     return o.unionByName(li).unionByName(cu)
+
+
+def _statement(key: Column, at: Column, table_name: str, data: Column, shift: int) -> list[Column]:
+    """Columns of one statement: every fifth key is of another database, every
+    eleventh is a transaction marker, the types cycle."""
+    k = key + shift
+    return [F.when(k % 5 == 0, OTHER_DATABASE).otherwise(CDC_DATABASE).alias("database"),
+            F.lit(table_name).alias("table"), _pick(CHANGE_TYPES, k).alias("type"),
+            F.when(k % 11 == 0, "TRANSACTIONBEGIN").otherwise(C.CDC_ROWDATA).alias("entry_type"),
+            data.alias("data"), at.alias("at")]
+
+
+def change_log(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
+    """The change feed as a topic of JSON lines: one statement per order (every
+    seventh without a row), one per order for all its lines, and customers;
+    with transaction markers and a second database in between."""
+    k, lk = F.col("o_orderkey"), F.col("l_orderkey")
+    data = F.when(k % 7 == 0, F.array().cast("array<map<string,string>>")).otherwise(F.array(_order_image(orders)))
+    o = orders.select(*_statement(k, F.timestamp_millis(order_create_ms(orders)), "order_info", data, 0))
+    by_order = (lineitem.select(lk.alias("k"), F.col("l_linenumber").alias("n"),
+                                F.to_json(_line_image()).alias("row"), F.col("l_shipdate").cast("timestamp").alias("t"))
+                .groupBy("k").agg(F.min("t").alias("t"), F.array_sort(F.collect_list(F.struct("n", "row"))).alias("rows")))
+    images = F.transform("rows", lambda r: F.from_json(r["row"], "map<string,string>"))
+    li = by_order.select(*_statement(F.col("k"), F.col("t"), "order_detail", images, 1))
+    cu = customer.select(*_statement(F.col("c_custkey"), F.timestamp_millis(F.col("c_custkey") * 1000), "user_info",
+                                     F.array(_row_map([("id", F.col("c_custkey")), ("login_name", F.col("c_name"))])), 0))
+    feed = o.unionByName(li).unionByName(cu)
+    value = F.to_json(F.struct("database", "table", "type", "entry_type", "data"))
+    return _topic(feed, CHANGE_TOPIC, F.lit(None), value, F.col("at"))
