@@ -390,3 +390,23 @@ n AS (
 SELECT CASE WHEN kind = 'purchase' THEN 'evt_' || event_id
             ELSE sha256('{P.DOC_WRITER}|' || b || '|' || nth || '|' || content) END AS doc_id, mid, kind, day
 FROM n"""
+
+
+# Stamped lines have their fields by name, the collector's time last.
+ORACLE["log_intake_stream"] = f"WITH {EVENTLOG}, {_DIRTY}," + f"""
+line AS (
+  SELECT strftime(e.ts, '%Y-%m-%d') AS day,
+         CASE e.event_type WHEN 'error' THEN '{C.DEAD_TOPIC}' WHEN 'signup' THEN '{C.STARTUP_TOPIC}'
+              ELSE '{C.EVENT_TOPIC}' END AS topic,
+         CASE e.event_type WHEN 'error' THEN NULL WHEN 'signup' THEN 'mid_' || e.user_id ELSE l.mid END AS key,
+         CASE e.event_type WHEN 'error' THEN d.raw
+           WHEN 'signup' THEN '{{"appId":"{C.APP_ID}","area":"' || {_pick(C.AREAS, 'e.user_id')} || '","channel":"'
+             || {_pick(C.CHANNELS, 'e.event_id')} || '","logType":"startup","mid":"mid_' || e.user_id || '","os":"'
+             || {_pick(C.OSES, 'e.user_id')} || '","uid":"' || e.user_id || '","version":"'
+             || {_pick(C.VERSIONS, 'e.event_id')} || '","ts":' || l.ts || '}}'
+           ELSE '{{"appId":"{C.APP_ID}","area":"' || l.area || '","eventId":"' || l.eventid || '","itemId":' || l.itemid
+             || ',"logType":"event","mid":"' || l.mid || '","nextPageId":' || l.nextpageid || ',"os":"' || l.os
+             || '","pageId":' || l.pageid || ',"uid":"' || l.uid || '","ts":' || l.ts || '}}' END AS value
+  FROM events e JOIN eventlog l ON l.event_id = e.event_id JOIN dirty d ON d.event_id = e.event_id)
+SELECT topic AS sink, key, value, day FROM line
+UNION ALL SELECT 'archive', NULL, value, day FROM line"""

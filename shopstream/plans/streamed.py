@@ -215,7 +215,7 @@ def q_sale_unmatched_stream(spark, sf):
     return spark.read.schema("side string, id string, order_id string").parquet(f"{base}/out")
 
 
-MESSAGE_SCHEMA = "key string, value string, topic string, timestamp timestamp, day string"
+MESSAGE_SCHEMA = "key string, value string, topic string, timestamp timestamp"
 
 
 def q_cdc_stream(spark, sf):
@@ -229,7 +229,7 @@ def q_cdc_stream(spark, sf):
         TP.write_topic_dir(part, f"{base}/src")
         jobs.run_until_done(jobs.cdc_job(TP.read_topic_dir(spark, f"{base}/src", stream=True), f"{base}/out",
                                          f"{base}/ck", AVAILABLE_NOW))
-    tables = [sinks.read_table(spark, f"{base}/out/{t}", MESSAGE_SCHEMA) for t in sorted(C.CDC_TABLE_TOPICS.values())]
+    tables = [sinks.read_table(spark, f"{base}/out/{t}", MESSAGE_SCHEMA + ", month string") for t in sorted(C.CDC_TABLE_TOPICS.values())]
     return tables[0].unionByName(tables[1]).select("topic", "key", "value")
 
 
@@ -244,7 +244,7 @@ def q_log_intake_stream(spark, sf):
         TP.write_topic_dir(part, f"{base}/src")
         jobs.run_until_done(jobs.log_intake_job(TP.read_topic_dir(spark, f"{base}/src", stream=True), f"{base}/out",
                                                 f"{base}/ck", AVAILABLE_NOW))
-    topics = [sinks.read_table(spark, f"{base}/out/{t}", MESSAGE_SCHEMA).select(
+    topics = [sinks.read_table(spark, f"{base}/out/{t}", MESSAGE_SCHEMA + ", day string").select(
         F.lit(t).alias("sink"), "key", "value", "day") for t in jobs.LOG_TABLES]
     archive = sinks.read_table(spark, f"{base}/out/{jobs.ARCHIVE}", "value string, day string").select(
         F.lit(jobs.ARCHIVE).alias("sink"), F.lit(None).cast("string").alias("key"), "value", "day")
