@@ -139,9 +139,10 @@ class Ranges:
     """Key ranges for about n keys: how many, and how many bits keys need so
     that unequal keys rarely meet (a few in 10,000)."""
 
-    def __init__(self, n: float):
-        self.count = max(1, math.ceil(n / RANGE_KEYS))
+    def __init__(self, n: float, size: int = RANGE_KEYS):
+        self.count = max(1, math.ceil(n / size))
         self.bits = min(62, max(32, math.ceil(math.log2(max(n, 2))) + 12))
+        self.made: dict[int, np.ndarray] = {}
 
     def short(self, h: np.ndarray) -> np.ndarray:
         """Hashes cut to the key size."""
@@ -149,8 +150,13 @@ class Ranges:
 
     def cuts(self, keys: np.ndarray, bits: int) -> np.ndarray:
         """Places in sorted keys where the next range begins."""
-        bounds = np.array([(i << bits) // self.count for i in range(1, self.count)], dtype=np.uint64)
-        return np.concatenate(([0], np.searchsorted(keys, bounds), [len(keys)]))
+        return np.concatenate(([0], np.searchsorted(keys, self._bounds(bits)), [len(keys)]))
+
+    def _bounds(self, bits: int) -> np.ndarray:
+        """First key of each range but the first; made once in a process."""
+        if bits not in self.made:
+            self.made[bits] = np.array([(i << bits) // self.count for i in range(1, self.count)], dtype=np.uint64)
+        return self.made[bits]
 
 
 def send(shard: int, ranges: Ranges, bits: int, keys: np.ndarray,

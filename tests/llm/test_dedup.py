@@ -150,3 +150,44 @@ def test_suffix_array(text):
         x, y = text[order[k - 1]:], text[order[k]:]
         n = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
         assert lcp[k] == min(n, 50)
+
+
+def test_suffix_dedup_cuts_long_texts(docs_of, odd_rows, prose):
+    """Texts of many shards, pieces and border parts give what whole ones give."""
+    long = prose(2500, 21)
+    rows = odd_rows + [(20, long), (21, long[:5000] + "#" + long[5000:]), (22, "a" * 9000), (23, "a" * 7000 + "b"),
+                       (24, long[3000:9000] * 2), (25, prose(700, 22)), (26, "\n" * 4096)]
+    got = bytes_result(suffix_dedup.repeated_bytes(docs_of(rows), shard_bytes=2000))
+    assert got == brute_bytes(rows)
+
+
+@pytest.mark.parametrize("piece,border", [(64, 100), (999, 300)])
+def test_runs_and_borders_do_not_depend_on_pieces(monkeypatch, prose, piece, border):
+    text = (prose(300, 31) + "x" * 200 + prose(300, 31)).encode()
+    data = np.frombuffer(text, np.uint8)
+    off = np.array([0, 0, 100, len(data) // 2, len(data)])
+    ids = np.array([4, 5, 6, 7])
+
+    def strings(runs):
+        first, second, least, start, group = suffix_dedup._borders(runs, np.arange(len(runs.anchor)), ids)
+        return {int(p): (int(first[g]), int(least[g])) for p, g in zip(start, group)}
+    whole = strings(suffix_dedup.Runs(data, off, 50, sides=False))
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    monkeypatch.setattr(suffix_dedup, "BORDER", border)
+    assert strings(suffix_dedup.Runs(data, off, 50, sides=False)) == whole
+    by = {}
+    for p in whole:
+        by.setdefault(text[p:p + 50], set()).add(whole[p])
+    assert all(len(v) == 1 for v in by.values())
+
+
+def test_suffix_dedup_of_a_text_of_64_mb_in_bounded_memory():
+    """What a worker does with shards of one 64 MB text, piece by piece."""
+    import resource
+    rng = np.random.default_rng(1)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for k in range(64):
+        data = rng.integers(97, 123, 1 << 20).astype(np.uint8) if k % 8 else np.full(1 << 20, 97, np.uint8)
+        runs = suffix_dedup.Runs(data, np.array([0, len(data)]), 50)
+        assert len(runs.side) > 0
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400 << 10
