@@ -18,7 +18,8 @@ faster of the two installed engines, built from the same file; any other file
 by its own library. Both give the same ids, which tests compare.
 
 Defined results: strings of the file's added tokens in a text become their
-ids; a null or empty text is the end id alone; repeated rows and
+ids; a text that the faster engine gives up on (a million blanks in a row) is
+encoded by the file's own library; a null or empty text is the end id alone; repeated rows and
 equal ids are packed as documents of their own; result columns replace columns
 of the same name, other columns pass through.
 """
@@ -52,6 +53,7 @@ class Encoder:
     def __init__(self, path: str, added: bool = False):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        self.path, self.added, self.tokenizer = path, added, None
         tokens = [t for t in spec.get("added_tokens") or [] if t["content"]]
         ranks = self._byte_ranks(spec) if not added or self._plain_added(tokens, spec["model"]) else None
         if ranks:
@@ -59,10 +61,7 @@ class Encoder:
             self.fast = tiktoken.Encoding("from-file", pat_str=PATTERN, mergeable_ranks=ranks,
                                           special_tokens={t["content"]: t["id"] for t in tokens if added})
         else:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
-            from tokenizers import Tokenizer
-            self.fast, self.tokenizer = None, Tokenizer.from_file(path)
-            self.tokenizer.encode_special_tokens = not added
+            self.fast = None
 
     @staticmethod
     def _plain_added(tokens: list[dict], model: dict) -> bool:
@@ -100,8 +99,20 @@ class Encoder:
         if not text:
             return np.zeros(0, np.int32)
         if self.fast:
-            return self.fast.encode_to_numpy(text, allowed_special="all").astype(np.int32)
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+            try:
+                return self.fast.encode_to_numpy(text, allowed_special="all").astype(np.int32)
+            except ValueError:  # its pattern gives up on about a million blanks in a row
+                pass
+        return np.array(self._own().encode(text, add_special_tokens=False).ids, np.int32)
+
+    def _own(self):
+        """The file's own library, loaded when it is needed."""
+        if self.tokenizer is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
+            from tokenizers import Tokenizer
+            self.tokenizer = Tokenizer.from_file(self.path)
+            self.tokenizer.encode_special_tokens = not self.added
+        return self.tokenizer
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -24,8 +24,9 @@ surrogates to occurrences is a plain equi-join (a hot entity's partition is
 split by adaptive execution). All of it is DataFrame expressions.
 
 Defined results: null and empty texts stay as they are with no entities; equal
-rows get equal results; rows that share an id keep their own texts; all other
-columns pass through; ``n_entities`` replaces a column of that name.
+rows get equal results; rows that share an id keep their own texts; of a chain
+of labels behind an @ the first 127 are the address; secrets are replaced
+whatever their length; all other columns pass through; ``n_entities`` replaces a column of that name.
 """
 
 from __future__ import annotations
@@ -61,7 +62,8 @@ PATTERNS = {
     "secret": r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z0-9+/_\-]{16})"
               r"""(?<=(?i:token|secret|password|passwd|api_key|apikey|key)[ ]{0,2}[=:][ ]{0,2}["']{0,1})"""
               r"[A-Za-z0-9+/_\-]++",
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
+    # possessive groups are matched in a loop, others by recursion; a name has at most 127 labels
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++){1,126}+",
     "iban": r"(?=[A-Z]{2}[0-9])(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z]{4})?(?: ?[0-9]{4}){2,7}"
             r"(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "ssn": r"(?=[0-9])(?<![\p{N}\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}\-])",
@@ -136,12 +138,15 @@ def _chars(text: Column) -> Column:
 
 def _classwise(text: Column, stream: Column) -> Column:
     """Each digit, lower and upper letter replaced within its class."""
-    def one(c: Column, i: Column) -> Column:
-        b = _byte(stream, i)
+    def one(c: Column, b: Column) -> Column:
         return (F.when(c.rlike("[0-9]"), F.char(F.lit(48) + b % 10))
                 .when(c.rlike(r"\p{Lu}"), F.char(F.lit(65) + b % 26))
                 .when(c.rlike(r"\p{L}"), F.char(F.lit(97) + b % 26)).otherwise(c))
-    return F.array_join(F.transform(_chars(text), one), "")
+
+    def all_of(hexes: Column) -> Column:  # an array, so that each byte is found at once
+        return F.transform(_chars(text), lambda c, i: one(
+            c, F.conv(F.concat(F.get(hexes, 2 * i), F.get(hexes, 2 * i + 1)), 16, 10).cast("int")))
+    return F.array_join(let(_chars(stream), all_of), "")
 
 
 def _numbers(canon: Column, stream: Column) -> Column:

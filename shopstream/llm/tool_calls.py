@@ -20,6 +20,7 @@ status: ``linked``, ``no_result``, ``orphan_result`` (no call), ``early_result``
 report ``unknown dependency``; the dependency orders nothing.
 
 Defined results: null ids link with null ids; null or malformed arguments,
+numbers beyond a double (or of over 4,300 digits), nesting of over 200 levels,
 repeated keys and unknown tools make a call invalid, with the reason in
 ``errors`` and null arguments in the message; null content is JSON null;
 repeated calls and results are counted in ``n_calls`` and ``n_results``. Other
@@ -43,6 +44,10 @@ from .common import join_safe
 _TYPES = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
 
+#: Deepest nesting of arguments.
+MOST_LEVELS = 200
+
+
 class _Repeated(ValueError):
     pass
 
@@ -58,21 +63,40 @@ def _constant(name: str) -> object:
     raise ValueError(name)
 
 
+def _float(text: str) -> float:
+    value = float(text)
+    if math.isinf(value):  # beyond a double
+        raise ValueError(text)
+    return value
+
+
+def _too_deep(value: object) -> bool:
+    level = [value]
+    for _ in range(MOST_LEVELS + 1):
+        level = [x for v in level if isinstance(v, (dict, list)) for x in (v.values() if isinstance(v, dict) else v)]
+        if not level:
+            return False
+    return True
+
+
 def parse(text: str | None) -> tuple[object, str | None]:
     """(value, None) of strict JSON, or (None, why not)."""
     if text is None:
         return None, "no arguments"
     try:
-        return json.loads(text, object_pairs_hook=_pairs, parse_constant=_constant), None
+        value = json.loads(text, object_pairs_hook=_pairs, parse_constant=_constant, parse_float=_float)
     except _Repeated:
         return None, "repeated key"
-    except (ValueError, RecursionError):
+    except RecursionError:
+        return None, "nested too deep"
+    except ValueError:
         return None, "not JSON"
+    return (None, "nested too deep") if _too_deep(value) else (value, None)
 
 
 def canonical(value: object) -> str:
     """Sorted keys, no blanks, whole floats as integers, UTF-8 where possible."""
-    text = json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    text = json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
     if any(0xD800 <= ord(c) < 0xE000 for c in text):  # a lone surrogate has no UTF-8
         text = json.dumps(_plain(value), sort_keys=True, separators=(",", ":"))
     return text
@@ -91,7 +115,7 @@ def _plain(v: object) -> object:
 def _is(value: object, kind: str) -> bool:
     if kind in ("number", "integer"):
         number = isinstance(value, (int, float)) and not isinstance(value, bool)
-        return number and (kind == "number" or float(value).is_integer())
+        return number and (kind == "number" or isinstance(value, int) or value.is_integer())
     return isinstance(value, _TYPES.get(kind, object))
 
 
@@ -101,7 +125,7 @@ def violations(value: object, schema: dict, path: str = "$") -> list[str]:
     if kinds is not None and not any(_is(value, k) for k in ([kinds] if isinstance(kinds, str) else kinds)):
         return [f"{path}: type"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):  # true is not 1
         out.append(f"{path}: enum")
     if isinstance(value, str):
         size = len(value)
