@@ -17,13 +17,13 @@ def _changes(spark, sf):
 
 
 def q_topic_scan(spark, sf):
-    """Event logs written as text lines, scanned back as values."""
+    """Event logs written as text lines, scanned back line by line."""
     pin_utc(spark)
     path = scratch_path(spark, "topic_scan")
     TP.write_lines(TB.event_topic(TB.table(spark, sf, "events")), path)
-    lines = TP.read_lines(spark, path)
-    return (lines.select(F.get_json_object("value", "$.eventId").alias("eventid"))
-                 .groupBy("eventid").agg(F.count(F.lit(1)).alias("n")))
+    lines = parse.parse_event(TP.read_lines(spark, path))
+    return lines.select("mid", "uid", F.col("eventId").alias("eventid"), F.col("pageId").alias("pageid"),
+                        F.col("nextPageId").alias("nextpageid"), F.col("itemId").alias("itemid"), "ts")
 
 
 def q_cdc_insert_only(spark, sf):
@@ -106,6 +106,5 @@ def q_log_archive_daily(spark, sf):
     path = scratch_path(spark, "log_archive")
     (ingest.archive_columns(_stamped(spark, sf)).write.mode("overwrite")
            .partitionBy("logdate").text(path))
-    back = spark.read.text(path)
-    return back.groupBy(F.col("logdate").cast("string").alias("logdate")).agg(
-        F.count(F.lit(1)).alias("n_logs"))
+    back = spark.read.schema("value string, logdate string").text(path)
+    return ingest.route(back).select("logdate", F.get_json_object("value", "$.ts").cast("bigint").alias("ts"), "topic")

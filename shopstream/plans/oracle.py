@@ -129,7 +129,8 @@ ORACLE: dict[str, str] = {
                    "out_trade_no, trade_body, create_date, create_hour FROM orderinfo",
     "detail_parse": _with(ORDERDETAIL) + "SELECT id, order_id, sku_name, sku_id, order_price, img_url, "
                     "sku_num, arrival_ms FROM orderdetail",
-    "json_roundtrip": _with(STARTUP) + f"SELECT {_DAU_COLS} FROM startup",
+    "json_roundtrip": _with(EVENTLOG) + "SELECT mid, uid, appid, area, os, logtype, eventid, pageid, "
+                      "nextpageid, itemid, ts, logdate, loghour FROM eventlog",
     "log_time_parts": _with(EVENTLOG) + "SELECT ts, logdate, loghour FROM eventlog",
     "order_time_parts": _with(ORDERINFO) + "SELECT id, create_time, create_date, create_hour FROM orderinfo",
     "mask_name": _with(ORDERINFO) + "SELECT id, consignee FROM orderinfo",
@@ -286,13 +287,13 @@ _STAMPED = """stamped AS (
   FROM events)"""
 
 ORACLE.update({
-    "topic_scan": _with(EVENTLOG) + "SELECT eventid, count(*) AS n FROM eventlog GROUP BY eventid",
+    "topic_scan": _with(EVENTLOG) + """SELECT mid, uid, eventid, pageid, nextpageid, itemid, ts FROM eventlog""",
     "cdc_insert_only": _with(_INSERTS) + "SELECT * FROM inserts",
     "cdc_rows": _with(_CDC_ROWS) + "SELECT key, value, topic FROM cdcrows",
     "cdc_route": _with(_CDC_ROWS) + "SELECT topic, count(*) AS n FROM cdcrows GROUP BY topic",
     "log_stamp_route": _with(_STAMPED) + """SELECT topic, count(*) AS n_logs, min(new_ts) AS min_ts,
         max(new_ts) AS max_ts, CAST(sum(new_ts) AS BIGINT) AS sum_ts FROM stamped GROUP BY topic""",
-    "log_archive_daily": _with(_STAMPED) + "SELECT logdate, count(*) AS n_logs FROM stamped GROUP BY logdate",
+    "log_archive_daily": _with(_STAMPED) + "SELECT logdate, new_ts AS ts, topic FROM stamped",
 })
 
 
@@ -362,6 +363,10 @@ ORACLE["cdc_stream"] = _with(_CDC_ROWS.replace(f"WHERE {_TYPE_O} = 'INSERT'",
 
 ORACLE["sale_unmatched_stream"] = ORACLE["sale_unmatched"]
 
+ORACLE["buffer_drain_stream"] = f"""
+SELECT 'sale' AS kind, order_id, order_detail_id AS id FROM ({ORACLE["sale_join_interval"]})
+UNION ALL SELECT side, order_id, id FROM ({ORACLE["sale_unmatched"]})"""
+
 ORACLE["dau_new_devices_stream"] = _with(STARTUP) + f"""
 SELECT {_DAU_COLS} FROM (
   SELECT *, row_number() OVER (PARTITION BY mid, logdate

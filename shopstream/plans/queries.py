@@ -69,9 +69,8 @@ def q_startup_parse(spark, sf):
     return dedupe.dau_rows(startup_logs(spark, sf))
 
 
-def q_event_parse(spark, sf):
-    pin_utc(spark)
-    return event_logs(spark, sf).select(
+def _event_columns(events: DataFrame) -> DataFrame:
+    return events.select(
         "mid", "uid", F.col("appId").alias("appid"), "area", "os",
         F.col("logType").alias("logtype"), F.col("eventId").alias("eventid"),
         F.col("pageId").alias("pageid"), F.col("nextPageId").alias("nextpageid"),
@@ -79,6 +78,11 @@ def q_event_parse(spark, sf):
         F.col("log_hour").alias("loghour"))
 
 
+def q_event_parse(spark, sf):
+    pin_utc(spark)
+    return _event_columns(event_logs(spark, sf))
+
+
 def q_order_parse(spark, sf):
     pin_utc(spark)
     return order_infos(spark, sf).select(*S.ORDER_INFO_FIELDS, "create_date", "create_hour")
@@ -91,11 +95,10 @@ def q_detail_parse(spark, sf):
 
 
 def q_json_roundtrip(spark, sf):
-    """Typed record -> JSON -> typed record again (P6 then P1)."""
+    """Typed record -> JSON -> typed record again (P6 then P1), of all events."""
     pin_utc(spark)
-    typed = parse.parse_startup(TB.startup_topic(TB.table(spark, sf, "events")))
-    again = parse.parse_startup(parse.to_json_value(typed, S.STARTUP_FIELDS), keep=())
-    return dedupe.dau_rows(again)
+    again = parse.parse_event(parse.to_json_value(event_logs(spark, sf), S.EVENT_FIELDS), keep=())
+    return _event_columns(again)
 
 
 def q_log_time_parts(spark, sf):

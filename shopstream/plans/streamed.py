@@ -215,6 +215,24 @@ def q_sale_unmatched_stream(spark, sf):
     return spark.read.schema("side string, id string, order_id string").parquet(f"{base}/out")
 
 
+def q_buffer_drain_stream(spark, sf):
+    """The consume-once buffer: lines that met their header within the
+    lifetime, and headers and lines that expired alone."""
+    pin_utc(spark)
+    base = scratch_path(spark, "buffer_drain_stream")
+    topics = list(_order_topics(spark, sf))
+    both = topics[0].unionByName(topics[1])
+    last = [_lone_heartbeat(both, "90 days"), _lone_heartbeat(both, "90 days")]
+    with state_partitions(spark):
+        for info, detail in [*time_slices(topics), last]:
+            TP.write_topic_dir(info, f"{base}/info")
+            TP.write_topic_dir(detail, f"{base}/detail")
+            jobs.run_until_done(jobs.drain_job(
+                TP.read_topic_dir(spark, f"{base}/info", stream=True), TP.read_topic_dir(spark, f"{base}/detail", stream=True),
+                f"{base}/out", f"{base}/ck", P.JOIN_INTERVAL_MS, "1 day", AVAILABLE_NOW))
+    return spark.read.schema("kind string, order_id string, id string").parquet(f"{base}/out")
+
+
 MESSAGE_SCHEMA = "key string, value string, topic string, timestamp timestamp"
 
 
