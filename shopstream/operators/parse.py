@@ -80,24 +80,35 @@ def order_columns(df: DataFrame) -> DataFrame:
     and masks of an order header (P9-P12).
 
     Applied once at ingest; masks are not idempotent (a second pass turns
-    '**' into '***' and re-masks long digit runs)."""
-    return (df.withColumn("create_date", X.create_date("create_time"))
-              .withColumn("create_month", F.substring(X.create_date("create_time"), 1, 7))
-              .withColumn("create_hour", X.create_hour("create_time"))
-              .withColumn("consignee", X.mask_name("consignee"))
-              .withColumn("consignee_tel", X.mask_phone("consignee_tel")))
-
-
-def parse_order_info(topic: DataFrame, keep: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """Order header JSON -> typed OrderInfo, masked, with date/hour."""
-    p = valid(parse_json(topic, S.ORDER_INFO_FIELDS, S.ORDER_INFO_CASTS, keep=_keep(topic, keep)))
-    return order_columns(p)
-
-
-def parse_order_detail(topic: DataFrame, keep: tuple[str, ...] = ("timestamp",)) -> DataFrame:
-    """Order line JSON -> typed OrderDetail (P4); ``timestamp`` is its arrival time."""
-    return valid(parse_json(topic, S.ORDER_DETAIL_FIELDS, S.ORDER_DETAIL_CASTS,
-                            keep=_keep(topic, keep)))
+    '**' into '***' and re-masks long digit runs). Columns whose field was not
+    parsed are left out."""
+    if "create_time" in df.columns:
+        df = (df.withColumn("create_date", X.create_date("create_time"))
+                .withColumn("create_month", F.substring(X.create_date("create_time"), 1, 7))
+                .withColumn("create_hour", X.create_hour("create_time")))
+    masks = {"consignee": X.mask_name, "consignee_tel": X.mask_phone}
+    return df.withColumns({c: mask(c) for c, mask in masks.items() if c in df.columns})
+
+
+def _casts(casts: dict[str, str], fields: list[str]) -> dict[str, str]:
+    return {f: t for f, t in casts.items() if f in fields}
+
+
+def parse_order_info(topic: DataFrame, keep: tuple[str, ...] = ("timestamp",),
+                     fields: list[str] | None = None) -> DataFrame:
+    """Order header JSON -> typed OrderInfo, masked, with date/hour (P3). The
+    parser reads only ``fields`` (default: all): the generator that keeps a
+    line from being parsed twice also keeps Spark from pruning them."""
+    wanted = fields or S.ORDER_INFO_FIELDS
+    return order_columns(valid(parse_json(topic, wanted, _casts(S.ORDER_INFO_CASTS, wanted), keep=_keep(topic, keep))))
+
+
+def parse_order_detail(topic: DataFrame, keep: tuple[str, ...] = ("timestamp",),
+                       fields: list[str] | None = None) -> DataFrame:
+    """Order line JSON -> typed OrderDetail (P4), only ``fields`` of it if
+    given; ``timestamp`` is its arrival time."""
+    wanted = fields or S.ORDER_DETAIL_FIELDS
+    return valid(parse_json(topic, wanted, _casts(S.ORDER_DETAIL_CASTS, wanted), keep=_keep(topic, keep)))
 
 
 def parse_user_info(df: DataFrame, value_col: str = "value") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..operators import dedupe, joins
 from ..session import pin_utc
 from . import params as P
@@ -11,7 +12,7 @@ from .queries import order_details, order_infos, users
 
 
 def _sides(spark, sf):
-    return order_infos(spark, sf), order_details(spark, sf)
+    return order_infos(spark, sf, S.JOIN_INFO_FIELDS), order_details(spark, sf, S.JOIN_DETAIL_FIELDS)
 
 
 def q_order_detail_full_outer(spark, sf):

@@ -28,12 +28,12 @@ def event_logs(spark: SparkSession, sf: str) -> DataFrame:
     return parse.parse_event(TB.event_topic(TB.table(spark, sf, "events")))
 
 
-def order_infos(spark: SparkSession, sf: str) -> DataFrame:
-    return parse.parse_order_info(TB.order_info_topic(TB.table(spark, sf, "orders")))
+def order_infos(spark: SparkSession, sf: str, fields: list[str] | None = None) -> DataFrame:
+    return parse.parse_order_info(TB.order_info_topic(TB.table(spark, sf, "orders")), fields=fields)
 
 
-def order_details(spark: SparkSession, sf: str) -> DataFrame:
-    return parse.parse_order_detail(TB.order_detail_topic(TB.table(spark, sf, "lineitem")))
+def order_details(spark: SparkSession, sf: str, fields: list[str] | None = None) -> DataFrame:
+    return parse.parse_order_detail(TB.order_detail_topic(TB.table(spark, sf, "lineitem")), fields=fields)
 
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
@@ -229,8 +229,8 @@ def q_sink_append_roundtrip(spark, sf):
     not duplicate (each batch owns its folder)."""
     pin_utc(spark)
     path = scratch_path(spark, "sale_detail_table")
-    sale = joins.interval_join(order_infos(spark, sf), order_details(spark, sf),
-                               interval=P.JOIN_INTERVAL)
+    sale = joins.interval_join(order_infos(spark, sf, S.JOIN_INFO_FIELDS),
+                               order_details(spark, sf, S.JOIN_DETAIL_FIELDS), interval=P.JOIN_INTERVAL)
     a = sale.filter(F.col("dt") < "1998-01-01")
     b = sale.filter(F.col("dt") >= "1998-01-01")
     sinks.append_batch(a, path, 0)

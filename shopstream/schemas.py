@@ -27,6 +27,10 @@ SALE_DETAIL_COLUMNS = ["order_detail_id", "order_id", "order_status", "create_ti
                        "sku_id", "user_gender", "user_age", "user_level", "sku_price",
                        "sku_name", "dt"]
 
+# What the header x line joins read of them.
+JOIN_INFO_FIELDS = ["id", "order_status", "user_id", "create_time"]
+JOIN_DETAIL_FIELDS = ["id", "order_id", "sku_name", "sku_id", "order_price"]
+
 CORRUPT = "_corrupt_record"
 
 
