@@ -1,17 +1,19 @@
 """Line dedup: lines that recur across documents are cut from all but one.
 
-Method: every line becomes a 128-bit hash of its key. Hashes are
-range-partitioned and sorted by (hash, document, position), then grouped by
-line and document and by line; the groups do not read the order. The
-occurrences in the largest document id stay. The result is one
-run-length encoded keep bitmap per document, not text; ``apply_bitmaps`` cuts
-the lines.
-
-Hot lines: the range bounds include document and position, so a line held by a
-third of all documents spreads over many ranges. Each range reduces it to one
-partial (largest id, number of documents) before the per-line totals are
-shuffled, and the join that carries the written totals back is a plain
-equi-join whose large partitions adaptive execution splits.
+Method: every line becomes a 128-bit hash of its key. The hashes are
+range-partitioned; each range is sorted by (hash, document from the largest id
+down, position) and read as a stream: a row whose predecessor has another hash
+is its line's first occurrence, which stays, and one whose predecessor has
+another document adds to the line's documents. The result is one run-length
+encoded keep bitmap per document, not text; ``apply_bitmaps`` cuts the lines.
+
+Ranges are equal parts of the hash space, so they hold about ``rows_per_range``
+lines each but for hot lines. Those are found in a sample (a line that would
+fill over a quarter of a range): their rows spread over as many sub-ranges as
+their sampled count asks for, each sub-range reduces them to one row per
+document, and their totals, one row per hot line, are joined back. Which lines
+the sample calls hot changes where rows go, not what is kept. Other lines lie
+in one range and are decided there; only rows to drop leave it.
 
 A line's key is the line with whitespace stripped at both ends and A-Z
 lower-cased. Keys of at least ``min_chars`` code points found in at least
@@ -27,7 +29,7 @@ unchanged. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -56,22 +58,62 @@ def keyed_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
                     F.xxhash64(F.lit("second"), F.col("key")).alias("h2")))
 
 
+def _spread(lines: DataFrame, rows_per_range: int) -> DataFrame:
+    """lines with the range of each row: (rng, sub), and whether its line is
+    hot. A sub-range depends on the whole row, so that neither a hot line nor
+    a hot document fills one."""
+    ranges = max(1, -(-lines.count() // rows_per_range))
+    share = min(1.0, 1024 / rows_per_range)
+    quarter = share * rows_per_range / 4
+    row_hash = F.xxhash64(F.lit("row"), "h1", "h2", "doc", "tid", "pos")
+    drawn = lines if share == 1.0 else lines.where(F.pmod(row_hash, F.lit(2**40)) < F.lit(int(share * 2**40)))
+    hot = materialise(
+        drawn.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > quarter)
+        .select("h1", "h2", F.ceil(F.col("n") / F.lit(quarter)).alias("subs")), "hot-lines")
+    # the upper 32 bits of h1, moved to 0 .. 2^32 - 1, times the ranges
+    part = F.shiftright((F.shiftright("h1", 32) + F.lit(2**31)) * F.lit(ranges), 32)
+    return (lines.join(hot, ["h1", "h2"], "left")
+            .select(*lines.columns, part.alias("rng"), F.col("subs").isNotNull().alias("hot"),
+                    F.coalesce(F.pmod(F.xxhash64("doc", "tid", "pos"), "subs"), F.lit(0)).alias("sub")))
+
+
+def line_stream(lines: DataFrame, rows_per_range: int) -> DataFrame:
+    """The rows of lines as their sorted range shows them: with new_doc (the
+    row is the first of its line and document there), n_docs and first (the
+    line's documents and its first document there)."""
+    order = [F.col("doc").desc_nulls_last(), F.col("tid"), F.col("pos")]
+    stream = Window.partitionBy("rng", "sub").orderBy("h1", "h2", *order)
+    line = Window.partitionBy("rng", "sub", "h1", "h2").orderBy(*order)
+
+    def as_before(c: str) -> Column:
+        return F.lag(c).over(stream).eqNullSafe(F.col(c))
+
+    ranged = _spread(lines, rows_per_range).repartitionByRange("rng", "sub")
+    marked = ranged.withColumn("new_doc", ~(as_before("h1") & as_before("h2") & as_before("doc")))
+    all_rows = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (marked.withColumn("n_docs", F.sum(F.col("new_doc").cast("long")).over(all_rows))
+            .withColumn("first", F.first("doc").over(all_rows)))
+
+
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+                 min_chars: int = 20, min_docs: int = 3, rows_per_range: int = 20_000) -> DataFrame:
     """(doc, tid, n_dropped, keep) for each document that loses lines; keep is
     the run-length encoded bitmap: runs (start, len) of lines that stay."""
     lines = materialise(keyed_lines(docs, id_col, text_col, min_chars), "line-hashes")
-    stream = (lines.repartitionByRange("h1", "h2", "doc", "tid", "pos")
-              .sortWithinPartitions("h1", "h2", F.col("doc").desc(), "tid", "pos"))
-    # one row per (line, document) within its range, then one per line
-    holders = stream.groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
-    common = materialise(
-        holders.groupBy("h1", "h2").agg(F.count("one").alias("n_docs"), F.max("doc").alias("first"))
-        .where(F.col("n_docs") >= min_docs).select("h1", "h2", "first"), "common-lines")
-    dropped = (lines.join(common, ["h1", "h2"])
-               .where(~F.col("doc").eqNullSafe(F.col("first")))
-               .groupBy("doc", "tid", "n_lines", "pos").agg(F.lit(1).alias("one")))
-    gaps = dropped.groupBy("doc", "tid", "n_lines").agg(F.sort_array(F.collect_list("pos")).alias("drop"))
+    later = ~F.col("doc").eqNullSafe(F.col("first"))
+    # a hot line is decided by the totals of its sub-ranges
+    found = materialise(
+        line_stream(lines, rows_per_range).where(F.col("hot") | ((F.col("n_docs") >= min_docs) & later))
+        .select("doc", "tid", "n_lines", "pos", "h1", "h2", "hot", "new_doc"), "line-stream")
+    hot = found.where("hot")
+    totals = materialise(
+        hot.where("new_doc").groupBy("h1", "h2", "doc").agg(F.lit(1).alias("one"))
+        .groupBy("h1", "h2").agg(F.count("one").alias("n_docs"), F.max("doc").alias("first"))
+        .where(F.col("n_docs") >= min_docs).select("h1", "h2", "first"), "hot-totals")
+    cut = ["doc", "tid", "n_lines", "pos"]
+    dropped = found.where("not hot").select(*cut).unionByName(
+        hot.join(totals, ["h1", "h2"]).where(later).select(*cut))
+    gaps = dropped.groupBy("doc", "tid", "n_lines").agg(F.sort_array(F.collect_set("pos")).alias("drop"))
     runs = F.transform(
         F.arrays_zip(F.concat(F.array(F.lit(-1)), F.col("drop")).alias("a"),
                      F.concat(F.col("drop"), F.array(F.col("n_lines"))).alias("b")),
@@ -104,7 +146,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20,
-                min_docs: int = 3, n_dropped: str | None = None) -> DataFrame:
+                min_docs: int = 3, n_dropped: str | None = None, rows_per_range: int = 20_000) -> DataFrame:
     """Both steps: bitmaps of all documents, then the cut."""
-    bitmaps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs)
+    bitmaps = keep_bitmaps(docs, id_col, text_col, min_chars, min_docs, rows_per_range)
     return apply_bitmaps(docs, bitmaps, id_col, text_col, n_dropped)

@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shopstream.llm import block_dedup, line_dedup, suffix_array, suffix_dedup
+from shopstream.session import materialise
 
 NULL = -2**63
 
@@ -131,6 +132,32 @@ def test_lines(spark, docs_of, odd_rows):
     assert {r.keep for r in out.collect()} == {"keep"}
 
 
+@pytest.mark.parametrize("rows_per_range", [1, 3, 40])
+def test_lines_of_many_ranges_and_hot_lines(spark, docs_of, odd_rows, rows_per_range):
+    """Hot lines, and documents whose rows share an id, spread over sub-ranges."""
+    hot = "the line that a third of all rows holds"
+    rows = [(i % 25 if i % 3 else None, "\n".join([hot] * (i % 4) + [f"some line number {i % 17} of a few"] * (i % 3)))
+            for i in range(90)] + odd_rows
+    got = line_dedup.dedup_lines(docs_of(rows), n_dropped="n_dropped", rows_per_range=rows_per_range)
+    assert sorted((key(r.doc_id), r.n_dropped, sha(r.text or "")) for r in got.collect()) == brute_lines(rows)
+
+
+def test_first_occurrences_are_streamed(spark, docs_of):
+    """One range exchange and one sort feed both windows; hot lines spread."""
+    rows = [(i, "the line that every document holds\nan own line, number %d of them" % i) for i in range(400)]
+    lines = line_dedup.keyed_lines(docs_of(rows), "doc_id", "text", 20)
+    stream = line_dedup.line_stream(materialise(lines, "test-lines"), 100)
+    plan = stream._jdf.queryExecution().sparkPlan().toString()
+    prepared = stream._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window") == 2
+    windows = prepared[:prepared.index("rangepartitioning")]
+    assert windows.count("Sort [") == 1 and "hashpartitioning" not in windows
+    sizes = [r["count"] for r in stream.groupBy("rng", "sub").count().collect()]
+    assert sum(sizes) == 800 and max(sizes) <= 150
+    firsts = {(r.doc, r.n_docs) for r in stream.where("new_doc and not hot").collect()}
+    assert firsts == {(i, 1) for i in range(400)}
+
+
 def test_bitmaps_hold_runs(spark, docs_of):
     line = "a line that three documents share"
     rows = [(i, f"first\n{line}\nmiddle\nlast") for i in (1, 2, 3)]
