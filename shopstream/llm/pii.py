@@ -7,8 +7,8 @@
    spellings of one entity (case of an address, layout of a number) stay one.
 2. Surrogates: each distinct (kind, canonical form) of the corpus gets a
    surrogate drawn from a keyed SHA-256 stream: digits for digits, letters for
-   letters, the first digit of numbers and the Luhn status of card numbers
-   kept, names from the pool of the same gender and script. A title fixes the
+   letters, the first digit of numbers, the Luhn sum of card numbers, country and
+   remainder by 97 of IBANs kept, names from the pool of the same gender and script. A title fixes the
    gender.
 3. Collision check: a surrogate must differ from every other surrogate and
    from every real entity of its kind. Of entities that drew the same one the
@@ -170,17 +170,42 @@ def _card(canon: Column, stream: Column) -> Column:
     return F.concat(head, F.pmod(off, F.lit(10)).cast("string"))
 
 
-def _named(pools: dict[str, list[str]], canon: Column, stream: Column, attempt: Column, family: bool) -> Column:
-    def of(pool: list[str]) -> Column:
-        pick = F.array(*[F.lit(p) for p in pool])
-        if not family:
-            first = F.get(pick, _byte(stream, F.lit(0)) % len(pool))
-            more = F.get(F.array(*[F.lit(p) for p in pool]), _byte(stream, F.lit(1)) % len(pool))
-            return F.when(attempt == 0, first).otherwise(F.concat(first, F.lower(F.repeat(more, attempt))))
-        n = F.lit(3) + attempt
-        return F.initcap(F.array_join(F.transform(
-            F.sequence(F.lit(1), n), lambda i: F.get(pick, _byte(stream, i - 1) % len(pool))), ""))
-    return F.when(canon.rlike(r"\p{IsCyrillic}"), of(pools["cyrillic"])).otherwise(of(pools["latin"]))
+def mod97(chars: Column) -> Column:
+    """The remainder by 97 of the number that digits and letters (A: 10 to
+    Z: 35) spell, as the check digits of an IBAN are defined."""
+    def step(acc: Column, c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), acc * 10 + F.ascii(c) - 48).otherwise(acc * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(_chars(chars), F.lit(0), step)
+
+
+def _iban(canon: Column, stream: Column) -> Column:
+    """The country stays; the check digits (02 to 98) leave the remainder of
+    the old number, so that valid numbers stay valid and others invalid."""
+    country, old = F.substr(canon, F.lit(1), F.lit(2)), F.substr(canon, F.lit(5))
+
+    def checked(new: Column) -> Column:
+        off = F.pmod(mod97(F.concat(old, F.substr(canon, F.lit(1), F.lit(4))))
+                     - mod97(F.concat(new, country, F.lit("00"))), F.lit(97))
+        check = F.when(off < 2, off + 97).otherwise(off)
+        return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
+    return let(_classwise(old, stream), checked)
+
+
+def _named(gender: str | None, canon: Column, stream: Column, attempt: Column) -> Column:
+    """A given name of the gender (behind the first attempt with syllables
+    more, so that room grows with every attempt), or a family name (None)."""
+    def of(script: str) -> Column:
+        if gender:
+            pool = GIVEN[script, gender]
+            first = F.get(F.array(*[F.lit(p) for p in pool]), _byte(stream, F.lit(0)) % len(pool))
+            return F.when(attempt == 0, first).otherwise(F.concat(first, syllables(script, attempt + 1)))
+        return F.initcap(syllables(script, F.lit(3) + attempt))
+
+    def syllables(script: str, n: Column) -> Column:
+        pick = F.array(*[F.lit(p) for p in SYLLABLES[script]])
+        return F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.get(
+            pick, _byte(stream, i) % len(SYLLABLES[script]))), "")
+    return F.when(canon.rlike(r"\p{IsCyrillic}"), of("cyrillic")).otherwise(of("latin"))
 
 
 def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
@@ -197,11 +222,10 @@ def surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
         hexes = F.substr(s, F.lit(1), F.length(canon))
         return (F.when(kind == "email", email).when(kind == "ip", ip)
                 .when(kind == "card", _card(canon, s)).when(kind.isin("phone", "ssn"), _numbers(canon, s))
-                .when(kind == "iban", F.concat(F.substr(canon, F.lit(1), F.lit(2)),
-                                               _classwise(F.substr(canon, F.lit(3)), s)))
-                .when(kind == "family", _named(SYLLABLES, canon, s, attempt, True))
-                .when(kind == "given_f", _named({k: v for (k, g), v in GIVEN.items() if g == "f"}, canon, s, attempt, False))
-                .when(kind == "given_m", _named({k: v for (k, g), v in GIVEN.items() if g == "m"}, canon, s, attempt, False))
+                .when(kind == "iban", _iban(canon, s))
+                .when(kind == "family", _named(None, canon, s, attempt))
+                .when(kind == "given_f", _named("f", canon, s, attempt))
+                .when(kind == "given_m", _named("m", canon, s, attempt))
                 .when(canon.rlike("^[0-9a-f]+$"), hexes).otherwise(_classwise(canon, s)))
     return let(_stream(key, kind, canon, attempt), draw)
 
