@@ -60,31 +60,76 @@ FROM j GROUP BY rid, doc_id
 """
 
 TOOL_CALLS = r"""
-WITH c AS (
-  SELECT conv_id, turn, text, 'call-' || conv_id || '-' || turn AS call_id,
-         CASE (conv_id + turn) % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'summarise' ELSE 'translate' END AS name
-  FROM conversations WHERE role = 'user'),
-r AS (
-  SELECT conv_id, turn, text AS content, 'call-' || conv_id || '-' || (turn - 1) AS call_id
-  FROM conversations WHERE role = 'assistant'),
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, text, role, conv_id % 8 AS kind,
+         CASE WHEN role = 'system' THEN 'configure' WHEN (conv_id + turn) % 3 = 0 THEN 'search'
+              WHEN (conv_id + turn) % 3 = 1 THEN 'summarise' ELSE 'translate' END AS name,
+         'call-' || conv_id || '-' AS id
+  FROM conversations),
+c0 AS (
+  SELECT conv_id, turn, name, text, id || (CASE WHEN kind = 5 AND turn >= 4 THEN turn - 4 ELSE turn END) AS call_id,
+         kind = 4 AND turn >= 2 AS broken,
+         CASE kind WHEN 1 THEN [id || (turn + 2)]
+                   WHEN 2 THEN CASE WHEN turn >= 2 THEN [id || (turn - 2), id || (turn + 2)] ELSE [id || (turn + 2)] END
+                   WHEN 3 THEN [id || (turn + 2), id || (turn + 4)]
+                   ELSE CASE WHEN turn >= 2 THEN [id || (turn - 2)] ELSE [] END END AS after
+  FROM raw WHERE role IN ('user', 'system')),
+c AS (SELECT * FROM c0 QUALIFY row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn) = 1),
+r0 AS (
+  SELECT conv_id, turn, text AS content, id || (CASE kind WHEN 6 THEN turn + 1 ELSE turn - 1 END) AS call_id
+  FROM raw WHERE role = 'assistant'
+  UNION ALL
+  SELECT conv_id, turn + 1, text, id || (turn - 1) FROM raw WHERE role = 'assistant' AND kind = 7),
+r AS (SELECT * FROM r0 QUALIFY row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn) = 1),
+edge AS (
+  SELECT e.conv_id, e.call_id, e.turn, e.dep, k.call_id IS NOT NULL AS known, k.turn AS dep_turn
+  FROM (SELECT conv_id, call_id, turn, unnest(after) AS dep FROM c) e
+  LEFT JOIN c k ON k.conv_id = e.conv_id AND k.call_id = e.dep),
+missing AS (SELECT DISTINCT conv_id, call_id FROM edge WHERE NOT known),
+wrong AS (SELECT DISTINCT conv_id FROM edge WHERE known AND dep_turn >= turn),
+reach AS (
+  SELECT conv_id, call_id, dep FROM edge WHERE known AND conv_id IN (SELECT conv_id FROM wrong)
+  UNION
+  SELECT e.conv_id, e.call_id, q.dep FROM edge e JOIN reach q ON q.conv_id = e.conv_id AND q.call_id = e.dep),
+loops AS (SELECT conv_id, call_id FROM reach WHERE call_id = dep),
+cyc AS (
+  SELECT conv_id, call_id FROM loops UNION
+  SELECT q.conv_id, q.call_id FROM reach q JOIN loops l ON l.conv_id = q.conv_id AND l.call_id = q.dep),
+path AS (
+  SELECT conv_id, call_id, 0 AS layer FROM c
+  WHERE conv_id IN (SELECT conv_id FROM wrong) AND (conv_id, call_id) NOT IN (SELECT (conv_id, call_id) FROM cyc)
+  UNION
+  SELECT e.conv_id, e.call_id, p.layer + 1 FROM edge e JOIN path p ON p.conv_id = e.conv_id AND p.call_id = e.dep
+  WHERE (e.conv_id, e.call_id) NOT IN (SELECT (conv_id, call_id) FROM cyc)),
+deep AS (SELECT conv_id, call_id, max(layer) AS layer FROM path GROUP BY ALL),
 j AS (
   SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
-         coalesce(c.turn, r.turn) AS seen, c.turn, c.text, c.name, r.content,
+         coalesce(c.turn, r.turn) AS seen, c.turn, c.text, c.name, c.broken, r.content,
+         c.call_id IS NULL AS lone,
          CASE WHEN c.call_id IS NULL THEN 'orphan_result' WHEN r.call_id IS NULL THEN 'no_result'
-              ELSE 'linked' END AS status,
-         CASE WHEN c.call_id IS NULL THEN 'no call'
-              WHEN name = 'search' AND length(c.text) > 300 THEN '$.text: maxLength'
-              WHEN name = 'summarise' AND length(c.text) < 60 THEN '$.text: minLength'
-              WHEN name = 'translate' AND c.turn > 4 THEN '$.turn: maximum' ELSE '' END AS errors
-  FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id)
-SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY seen, call_id) AS position, call_id, name, status,
-       errors = '' AS valid, errors,
-       '{"arguments":' || CASE WHEN status = 'orphan_result' THEN 'null' ELSE
+              WHEN r.turn < c.turn THEN 'early_result' ELSE 'linked' END AS met,
+         CASE WHEN c.call_id IS NULL THEN 'no call' ELSE
+           concat_ws('; ', CASE WHEN broken THEN 'not JSON' END,
+              CASE WHEN name = 'configure' THEN 'unknown tool'
+                   WHEN broken THEN NULL
+                   WHEN name = 'search' AND length(c.text) > 300 THEN '$.text: maxLength'
+                   WHEN name = 'summarise' AND length(c.text) < 60 THEN '$.text: minLength'
+                   WHEN name = 'translate' AND c.turn > 4 THEN '$.turn: maximum' END) END AS found
+  FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id),
+k AS (
+  SELECT j.*, cyc.call_id IS NOT NULL AND NOT lone AS looped, coalesce(deep.layer, 0) AS layer,
+         concat_ws('; ', nullif(found, ''), CASE WHEN missing.call_id IS NOT NULL THEN 'unknown dependency' END) AS errors
+  FROM j LEFT JOIN cyc ON cyc.conv_id = j.conv_id AND cyc.call_id = j.call_id
+  LEFT JOIN deep ON deep.conv_id = j.conv_id AND deep.call_id = j.call_id
+  LEFT JOIN missing ON missing.conv_id = j.conv_id AND missing.call_id = j.call_id)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY looped, layer, seen, call_id) AS position, call_id, name,
+       CASE WHEN looped THEN 'cycle' ELSE met END AS status, errors = '' AS valid, errors,
+       '{"arguments":' || CASE WHEN lone OR broken THEN 'null' ELSE
          '{"text":' || to_json(text)::VARCHAR || ',"turn":' || turn || '}' END
        || ',"call_id":' || to_json(call_id)::VARCHAR
        || ',"name":' || CASE WHEN name IS NULL THEN 'null' ELSE to_json(name)::VARCHAR END
        || ',"result":' || CASE WHEN content IS NULL THEN 'null' ELSE to_json(content)::VARCHAR END || '}' AS message
-FROM j
+FROM k
 """
 
 WINNOWING = r"""

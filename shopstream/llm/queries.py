@@ -52,21 +52,34 @@ TOOLS = {
 
 
 def tool_log(chats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A tool log of conversations: each user turn calls a tool with its text,
-    after the call two turns before; the assistant turn behind it answers."""
-    def call_id(turn):
-        return F.concat_ws("-", F.lit("call"), F.col("conv_id").cast("string"), turn.cast("string"))
-
-    tool = F.get(F.array(*[F.lit(t) for t in TOOLS]), F.pmod(F.col("conv_id") + F.col("turn"), F.lit(3)).cast("int"))
-    users = chats.where("role = 'user'")
-    earlier = users.select("conv_id", (F.col("turn") + 2).alias("turn")).distinct().withColumn("prior", F.lit(True))
-    calls = users.join(earlier, ["conv_id", "turn"], "left").select(
-        "conv_id", call_id(F.col("turn")).alias("call_id"), "turn", tool.alias("name"),
-        F.to_json(F.struct("turn", "text")).alias("arguments"),
-        F.when(F.col("prior"), F.array(call_id(F.col("turn") - 2))).otherwise(F.array()).alias("after"))
-    results = chats.where("role = 'assistant'").select(
-        "conv_id", call_id(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
-    return calls, results
+    """A tool log of all turns of conversations: a user turn calls a tool with
+    its text, a system turn calls one that has no schema, an assistant turn is
+    the result of the turn before it. As in logs of real clients, some
+    conversations name other calls than the last one (later, several, absent),
+    send text that is not JSON, use an id again, answer another call or twice."""
+    kind, turn = F.pmod(F.col("conv_id"), F.lit(8)), F.col("turn")
+
+    def call_id(t):
+        return F.concat_ws("-", F.lit("call"), F.col("conv_id").cast("string"), t.cast("string"))
+
+    tool = F.get(F.array(*[F.lit(t) for t in TOOLS]), F.pmod(F.col("conv_id") + turn, F.lit(3)).cast("int"))
+    before = F.when(turn >= 2, F.array(call_id(turn - 2))).otherwise(F.array().cast("array<string>"))
+    after = (F.when(kind == 1, F.array(call_id(turn + 2)))
+             .when(kind == 2, F.concat(before, F.array(call_id(turn + 2))))
+             .when(kind == 3, F.array(call_id(turn + 2), call_id(turn + 4)))
+             .otherwise(before))
+    sent = F.to_json(F.struct("turn", "text"))
+    calls = chats.where("role in ('user', 'system')").select(
+        "conv_id", call_id(F.when((kind == 5) & (turn >= 4), turn - 4).otherwise(turn)).alias("call_id"), "turn",
+        F.when(F.col("role") == "system", F.lit("configure")).otherwise(tool).alias("name"),
+        F.when((kind == 4) & (turn >= 2), F.col("text")).otherwise(sent).alias("arguments"), after.alias("after"))
+    answered = chats.where("role = 'assistant'")
+    results = answered.select(
+        "conv_id", call_id(F.when(kind == 6, turn + 1).otherwise(turn - 1)).alias("call_id"), "turn",
+        F.col("text").alias("content"))
+    again = answered.where(kind == 7).select(
+        "conv_id", call_id(turn - 1).alias("call_id"), (turn + 1).alias("turn"), F.col("text").alias("content"))
+    return calls, results.unionByName(again)
 
 
 def op1_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:

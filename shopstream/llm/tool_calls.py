@@ -6,8 +6,10 @@
    call ids and a repeated id is one row.
 2. Order: a call may name calls it comes after. Where every such call has an
    earlier turn, the turns are a topological order already. Conversations with
-   another dependency are layered: each round takes the calls that wait for no
-   open call, as joins over all of them. What is left waits in a cycle.
+   another dependency are layered (longest path): each round takes the calls
+   that wait for no open call and skips over calls that wait for one, as joins
+   over all of them, so chains take rounds by the logarithm of their length.
+   What is left waits in a cycle.
    Positions come from a range sort by (conversation, layer, turn, id) and a
    prefix sum over ranges, so a conversation may span many tasks.
 3. Validate: arguments are parsed and checked against the tool's JSON schema
@@ -169,10 +171,21 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
         status.alias("status"))
 
 
+#: Above every layer; bounds what a cycle adds up to.
+_MOST_LAYERS = 1 << 40
+
+
 def dependency_layers(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(layers, unknown): layer of the calls of conversations that turns alone
-    do not order (null: cycle), and (conv_id, call_id) of calls that name an
-    unknown call."""
+    do not order (null: in or behind a cycle), and (conv_id, call_id) of calls
+    that name an unknown call.
+
+    The layer of a call is ``max(least, layer(dep) + far)`` over its open
+    dependencies. A round takes the calls without open dependencies, then
+    replaces every edge to a taken call by a bound and every edge to a call
+    with one open dependency by an edge to that dependency. A chain so halves
+    in each round instead of losing one call, and edges never grow in number.
+    """
     spark = linked.sparkSession
     calls = linked.where("status <> 'orphan_result'").select("conv_id", "call_id", "turn")
     edges = (linked.where("status <> 'orphan_result'")
@@ -184,23 +197,40 @@ def dependency_layers(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
     unknown = resolved.where("not known").select("conv_id", "call_id").distinct()
     wrong = resolved.where("known and not coalesce(dep_turn < turn, false)").select("conv_id").distinct()
     path = scratch_path(spark, "call-layers")
-    schema = linked.select("conv_id", "call_id").schema.add("layer", "integer")
-    open_calls = materialise(join_safe(calls.select("conv_id", "call_id"), wrong, ["conv_id"], "left_semi"),
-                             "open-calls")
-    waits = resolved.where("known").select("conv_id", "call_id", "dep")
-    layer = 0
+    schema = linked.select("conv_id", "call_id").schema.add("layer", "long")
+    open_calls = materialise(join_safe(calls.select("conv_id", "call_id", F.lit(0).cast("long").alias("least")),
+                                       wrong, ["conv_id"], "left_semi"), "open-calls")
+    waits = materialise(join_safe(resolved.where("known").select(
+        "conv_id", "call_id", "dep", F.lit(1).cast("long").alias("far")), wrong, ["conv_id"], "left_semi"), "open-waits")
     while True:
-        deps = open_calls.select("conv_id", F.col("call_id").alias("dep"))
-        waits = materialise(join_safe(waits, deps, ["conv_id", "dep"], "left_semi"), "open-waits")
-        blocked = waits.select("conv_id", "call_id").distinct()
-        ready = join_safe(open_calls, blocked, ["conv_id", "call_id"], "left_anti")
+        counted = waits.groupBy("conv_id", "call_id").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("dep", "far")).alias("only"))
+        state = materialise(join_safe(open_calls, counted, ["conv_id", "call_id"], "left"), "call-state")
+        ready = state.where("n is null")
         some = bool(ready.take(1))
-        part = ready if some else open_calls  # what no round takes is in or behind a cycle
-        part.withColumn("layer", F.lit(layer if some else None).cast("int")).write.mode("append").parquet(path)
+        part = ready if some else state  # what no round takes is in or behind a cycle
+        part.select("conv_id", "call_id", (F.col("least") if some else F.lit(None)).cast("long").alias("layer")) \
+            .write.mode("append").parquet(path)
         if not some:
             return spark.read.schema(schema).parquet(path), unknown
-        open_calls = materialise(join_safe(open_calls, blocked, ["conv_id", "call_id"], "left_semi"), "open-calls")
-        layer += 1
+        taken = ready.select("conv_id", F.col("call_id").alias("dep"), F.col("least").alias("dep_least"))
+        one = state.where("n = 1").select("conv_id", "call_id", "least", "only", F.col("only.dep").alias("dep"))
+        one = join_safe(one, taken.withColumn("gone", F.lit(True)), ["conv_id", "dep"], "left")
+        theirs = taken.select("*", F.lit(None).cast(one.schema["only"].dataType).alias("only")).unionByName(one.select(
+            "conv_id", F.col("call_id").alias("dep"),
+            F.greatest("least", F.col("dep_least") + F.col("only.far")).alias("dep_least"),
+            F.when(F.col("gone").isNull(), F.col("only")).alias("only"))).withColumn("short", F.lit(True))
+        steps = materialise(join_safe(waits, theirs, ["conv_id", "dep"], "left"), "call-steps")
+        bounds = steps.where("short").groupBy("conv_id", "call_id").agg(
+            F.max(F.least(F.col("dep_least") + F.col("far"), F.lit(_MOST_LAYERS))).alias("bound"))
+        open_calls = materialise(join_safe(state.where("n is not null").select("conv_id", "call_id", "least"),
+                                           bounds, ["conv_id", "call_id"], "left").select(
+            "conv_id", "call_id", F.greatest("least", "bound").alias("least")), "open-calls")
+        over = F.col("only").isNotNull()
+        waits = materialise(steps.where("short is null or only is not null").select(
+            "conv_id", "call_id", F.when(over, F.col("only.dep")).otherwise(F.col("dep")).alias("dep"),
+            F.least(F.col("far") + F.when(over, F.col("only.far")).otherwise(0), F.lit(_MOST_LAYERS)).alias("far"))
+            .groupBy("conv_id", "call_id", "dep").agg(F.max("far").alias("far")), "open-waits")
 
 
 def ordered(linked: DataFrame) -> DataFrame:
@@ -212,7 +242,7 @@ def ordered(linked: DataFrame) -> DataFrame:
         "unknown_dep", F.coalesce("unknown_dep", F.lit(False)))
     cyclic = F.coalesce("layered", F.lit(False)) & F.col("layer").isNull()
     wide = wide.withColumn("status", F.when(cyclic, "cycle").otherwise(F.col("status"))).withColumn(
-        "layer", F.when(cyclic, F.lit(2**31 - 1)).otherwise(F.coalesce("layer", F.lit(0)))).drop("layered")
+        "layer", F.when(cyclic, F.lit(_MOST_LAYERS)).otherwise(F.coalesce("layer", F.lit(0)))).drop("layered")
     order = ("conv_id", "layer", "turn", "call_id")
     placed = materialise(wide.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "call-order")
     counts = placed.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"))
