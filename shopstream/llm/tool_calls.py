@@ -6,10 +6,10 @@
    call ids and a repeated id is one row.
 2. Order: a call may name calls it comes after. Where every such call has an
    earlier turn, the turns are a topological order already. Conversations with
-   another dependency are layered (longest path): each round takes the calls
-   that wait for no open call and skips over calls that wait for one, as joins
-   over all of them, so chains take rounds by the logarithm of their length.
-   What is left waits in a cycle.
+   another dependency are layered (longest path), each in one task; those too
+   large for that in rounds of joins, which take the calls that wait for no
+   open call and skip over calls that wait for one, so that chains take rounds
+   by the logarithm of their length. What is left waits in a cycle.
    Positions come from a range sort by (conversation, layer, turn, id) and a
    prefix sum over ranges, so a conversation may span many tasks.
 3. Validate: arguments are parsed and checked against the tool's JSON schema
@@ -174,17 +174,44 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
 #: Above every layer; bounds what a cycle adds up to.
 _MOST_LAYERS = 1 << 40
 
+#: Size (ids and 100 bytes an edge) up to which one task orders a conversation.
+MOST_BYTES = 32 << 20
+
+_LAYERS = "conv_id {conv}, call_id string, layer long"
+
+
+def _layered(table: pa.Table) -> pa.Table:
+    """Layers of one conversation's calls; a row is a call or one dependency."""
+    conv = table["conv_id"][0]
+    rows = list(zip(table["call_id"].to_pylist(), table["dep"].to_pylist(), table["edge"].to_pylist()))
+    waits = {call: 0 for call, _, _ in rows}
+    after: dict[str | None, list[str | None]] = {}
+    for call, dep, edge in rows:
+        if edge:
+            waits[call] += 1
+            after.setdefault(dep, []).append(call)
+    layer: dict[str | None, int | None] = dict.fromkeys(waits)
+    ready, depth = [c for c, n in waits.items() if not n], 0
+    while ready:
+        following = []
+        for c in ready:
+            layer[c] = depth
+            for d in after.get(c, ()):
+                waits[d] -= 1
+                if not waits[d]:
+                    following.append(d)
+        ready, depth = following, depth + 1
+    return pa.table([pa.array([conv.as_py()] * len(layer), conv.type), pa.array(list(layer), pa.string()),
+                     pa.array(list(layer.values()), pa.int64())], names=["conv_id", "call_id", "layer"])
+
 
 def dependency_layers(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(layers, unknown): layer of the calls of conversations that turns alone
     do not order (null: in or behind a cycle), and (conv_id, call_id) of calls
     that name an unknown call.
 
-    The layer of a call is ``max(least, layer(dep) + far)`` over its open
-    dependencies. A round takes the calls without open dependencies, then
-    replaces every edge to a taken call by a bound and every edge to a call
-    with one open dependency by an edge to that dependency. A chain so halves
-    in each round instead of losing one call, and edges never grow in number.
+    A conversation of up to ``MOST_BYTES`` is ordered in one task, in time
+    linear in its edges; larger ones by ``_rounds`` over all their calls.
     """
     spark = linked.sparkSession
     calls = linked.where("status <> 'orphan_result'").select("conv_id", "call_id", "turn")
@@ -196,12 +223,35 @@ def dependency_layers(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
         "known", F.coalesce("known", F.lit(False))), "call-edges")
     unknown = resolved.where("not known").select("conv_id", "call_id").distinct()
     wrong = resolved.where("known and not coalesce(dep_turn < turn, false)").select("conv_id").distinct()
+    edge = F.lit(True).alias("edge")
+    waiting = join_safe(resolved.where("known").select("conv_id", "call_id", "dep", edge), wrong, ["conv_id"], "left_semi")
+    alone = join_safe(calls.select("conv_id", "call_id", F.lit(None).cast("string").alias("dep"), (~edge).alias("edge")),
+                      wrong, ["conv_id"], "left_semi")
+    rows = materialise(alone.unionByName(waiting), "call-waits")
+    size = F.sum(F.lit(100) + F.coalesce(F.octet_length("call_id"), F.lit(0)) + F.coalesce(F.octet_length("dep"), F.lit(0)))
+    large = materialise(rows.groupBy("conv_id").agg(size.alias("size")).where(F.col("size") > MOST_BYTES)
+                        .select("conv_id"), "large-logs")
+    schema = _LAYERS.format(conv=linked.schema["conv_id"].dataType.simpleString())
+    layers = join_safe(rows, large, ["conv_id"], "left_anti").groupBy("conv_id").applyInArrow(_layered, schema)
+    if large.take(1):
+        layers = layers.unionByName(_rounds(join_safe(rows, large, ["conv_id"], "left_semi")))
+    return layers, unknown
+
+
+def _rounds(rows: DataFrame) -> DataFrame:
+    """Layers of the calls of rows (conv_id, call_id, dep, edge) in rounds.
+
+    The layer of a call is ``max(least, layer(dep) + far)`` over its open
+    dependencies. A round takes the calls without open dependencies, then
+    replaces every edge to a taken call by a bound and every edge to a call
+    with one open dependency by an edge to that dependency. A chain so halves
+    in each round instead of losing one call, and edges never grow in number.
+    """
+    spark = rows.sparkSession
     path = scratch_path(spark, "call-layers")
-    schema = linked.select("conv_id", "call_id").schema.add("layer", "long")
-    open_calls = materialise(join_safe(calls.select("conv_id", "call_id", F.lit(0).cast("long").alias("least")),
-                                       wrong, ["conv_id"], "left_semi"), "open-calls")
-    waits = materialise(join_safe(resolved.where("known").select(
-        "conv_id", "call_id", "dep", F.lit(1).cast("long").alias("far")), wrong, ["conv_id"], "left_semi"), "open-waits")
+    schema = rows.select("conv_id", "call_id").schema.add("layer", "long")
+    open_calls = rows.where("not edge").select("conv_id", "call_id", F.lit(0).cast("long").alias("least"))
+    waits = rows.where("edge").select("conv_id", "call_id", "dep", F.lit(1).cast("long").alias("far"))
     while True:
         counted = waits.groupBy("conv_id", "call_id").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct("dep", "far")).alias("only"))
@@ -212,7 +262,7 @@ def dependency_layers(linked: DataFrame) -> tuple[DataFrame, DataFrame]:
         part.select("conv_id", "call_id", (F.col("least") if some else F.lit(None)).cast("long").alias("layer")) \
             .write.mode("append").parquet(path)
         if not some:
-            return spark.read.schema(schema).parquet(path), unknown
+            return spark.read.schema(schema).parquet(path)
         taken = ready.select("conv_id", F.col("call_id").alias("dep"), F.col("least").alias("dep_least"))
         one = state.where("n = 1").select("conv_id", "call_id", "least", "only", F.col("only.dep").alias("dep"))
         one = join_safe(one, taken.withColumn("gone", F.lit(True)), ["conv_id", "dep"], "left")

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from shopstream.llm import tool_calls
 
 LINKED = "conv_id long, call_id string, turn long, after array<string>, status string"
@@ -33,9 +35,12 @@ def layers_of(spark, logs):
     return got, {(r.conv_id, r.call_id) for r in unknown.collect()}
 
 
-def test_random_logs(spark):
+@pytest.mark.parametrize("most", [tool_calls.MOST_BYTES, 1000, 0])
+def test_random_logs(spark, monkeypatch, most):
+    """In one task each, in rounds of joins, and some by either."""
+    monkeypatch.setattr(tool_calls, "MOST_BYTES", most)
     rng = random.Random(7)
-    logs = {}
+    logs = {None: {None: (1, ["z"]), "z": (2, [])}}
     for conv in range(60):
         n, many, back = rng.randint(1, 14), rng.randint(1, 4), rng.random() < 0.4
         logs[conv] = {f"c{i}": (rng.randrange(n), [f"c{rng.randrange(n + 2) if back else rng.randrange(i + 1, n + 2)}"
@@ -52,6 +57,7 @@ def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
     """700 calls, each after the next one; a third name a common call too."""
     n, rounds = 700, []
     write = tool_calls.materialise
+    monkeypatch.setattr(tool_calls, "MOST_BYTES", 0)
     monkeypatch.setattr(tool_calls, "materialise", lambda df, name: rounds.append(name) or write(df, name))
     calls = {f"c{i}": (i, [f"c{i + 1}"] + ([f"c{n}"] if i % 3 == 0 else [])) for i in range(n)}
     calls[f"c{n}"] = (n, [])
