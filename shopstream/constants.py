@@ -36,11 +36,4 @@ KPI_NEW_MID = ("new_mid", "新增设备")
 KPI_NEW_MID_VALUE = "233"
 KPI_ORDER_AMOUNT = ("order_amount", "新增交易额")
 
-# The log generator's categorical values (used by the
-# driver-table adapters to give logs realistic field values).
-AREAS = ["beijing", "shanghai", "guangdong", "hebei", "heilongjiang", "shandong",
-         "tianjin", "guizhou", "shangxi", "sichuan", "xinjiang"]
-OSES = ["ios", "android"]
-VERSIONS = ["1.2.0", "1.1.2", "1.1.3", "1.1.1"]
-CHANNELS = ["xiaomi", "huawei", "wandoujia", "360", "tencent", "baidu", "website", "apple"]
 APP_ID = "shop"

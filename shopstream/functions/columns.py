@@ -77,9 +77,8 @@ def user_age(birthday: str | Column, as_of: str | Column | None = None) -> Colum
 
 
 def div_trunc(num: Column, den: int) -> Column:
-    """Integer division truncating toward zero, exact for longs: the
-    remainder keeps the dividend's sign, so ``num - num % den`` divides evenly."""
-    return ((num - num % F.lit(den)) / F.lit(den)).cast("bigint")
+    """Integer division truncating toward zero, in longs."""
+    return F.call_function("div", num, F.lit(den)).cast("bigint")
 
 
 def doc_id(mid: str | Column, ts_ms: str | Column, bucket_ms: int = C.ALERT_DOC_BUCKET_MS) -> Column:

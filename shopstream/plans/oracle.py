@@ -21,21 +21,25 @@ def _pick(values, idx: str) -> str:
     return f"{_list(values)}[({idx}) % {len(values)} + 1]"
 
 
+def _named(field: str, idx: str) -> str:
+    return f"'{field}_' || (({idx}) % {TB.NAMED_VALUES[field]})"
+
+
 _EVENT_ID = "CASE event_type " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in TB.EVENT_ID_OF_TYPE.items()) + " END"
 
 STARTUP = f"""startup AS (
   SELECT 'mid_' || CAST(user_id AS VARCHAR) AS mid, CAST(user_id AS VARCHAR) AS uid,
-         '{C.APP_ID}' AS appid, {_pick(C.AREAS, 'user_id')} AS area,
-         {_pick(C.OSES, 'user_id')} AS os, {_pick(C.CHANNELS, 'event_id')} AS channel,
-         'startup' AS logtype, {_pick(C.VERSIONS, 'event_id')} AS version,
+         '{C.APP_ID}' AS appid, {_named('area', 'user_id')} AS area,
+         {_named('os', 'user_id')} AS os, {_named('channel', 'event_id')} AS channel,
+         'startup' AS logtype, {_named('version', 'event_id')} AS version,
          (epoch_us(ts) // 1000) AS ts, strftime(ts, '%Y-%m-%d') AS logdate, strftime(ts, '%H') AS loghour
   FROM events WHERE event_type = 'signup')"""
 
 EVENTLOG = f"""eventlog AS (
   SELECT 'mid_' || CAST(user_id % {TB.EVENT_DEVICES} AS VARCHAR) AS mid,
          CAST(user_id AS VARCHAR) AS uid, '{C.APP_ID}' AS appid,
-         {_pick(C.AREAS, 'user_id')} AS area, {_pick(C.OSES, 'user_id')} AS os,
+         {_named('area', 'user_id')} AS area, {_named('os', 'user_id')} AS os,
          'event' AS logtype, {_EVENT_ID} AS eventid,
          CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR) AS pageid,
          CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) % 50 + 1 AS VARCHAR) AS nextpageid,
@@ -405,10 +409,10 @@ line AS (
               ELSE '{C.EVENT_TOPIC}' END AS topic,
          CASE e.event_type WHEN 'error' THEN NULL WHEN 'signup' THEN 'mid_' || e.user_id ELSE l.mid END AS key,
          CASE e.event_type WHEN 'error' THEN d.raw
-           WHEN 'signup' THEN '{{"appId":"{C.APP_ID}","area":"' || {_pick(C.AREAS, 'e.user_id')} || '","channel":"'
-             || {_pick(C.CHANNELS, 'e.event_id')} || '","logType":"startup","mid":"mid_' || e.user_id || '","os":"'
-             || {_pick(C.OSES, 'e.user_id')} || '","uid":"' || e.user_id || '","version":"'
-             || {_pick(C.VERSIONS, 'e.event_id')} || '","ts":' || l.ts || '}}'
+           WHEN 'signup' THEN '{{"appId":"{C.APP_ID}","area":"' || {_named('area', 'e.user_id')} || '","channel":"'
+             || {_named('channel', 'e.event_id')} || '","logType":"startup","mid":"mid_' || e.user_id || '","os":"'
+             || {_named('os', 'e.user_id')} || '","uid":"' || e.user_id || '","version":"'
+             || {_named('version', 'e.event_id')} || '","ts":' || l.ts || '}}'
            ELSE '{{"appId":"{C.APP_ID}","area":"' || l.area || '","eventId":"' || l.eventid || '","itemId":' || l.itemid
              || ',"logType":"event","mid":"' || l.mid || '","nextPageId":' || l.nextpageid || ',"os":"' || l.os
              || '","pageId":' || l.pageid || ',"uid":"' || l.uid || '","ts":' || l.ts || '}}' END AS value

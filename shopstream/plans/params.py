@@ -22,3 +22,8 @@ JOIN_INTERVAL_MS = 30 * 24 * 3600 * 1000
 #: From when the second edition of the users holds (1998-01-01 UTC).
 USERS_CHANGE_MS = 883_612_800_000
 DOC_WRITER = "documents"
+#: Slices in which the streamed queries' topics arrive.
+SLICES = 4
+#: State partitions of a new checkpoint, fixed from then on (None: one for each
+#: core there is; a job sizes them by its state).
+STATE_PARTITIONS = None

@@ -29,26 +29,25 @@ from . import params as P
 from .feeds import raw_lines
 from .queries import users
 
-SLICES = 4
 SALE_SCHEMA = ("order_detail_id string, order_id string, order_status string, create_time string, user_id string, "
                "sku_id string, sku_price double, sku_name string, dt string")
 AVAILABLE_NOW = {"availableNow": True}
 
 
 @contextmanager
-def state_partitions(spark):
-    """Size the state store by the cluster (one partition per core) while a
-    job's checkpoint is created; the count is fixed in the checkpoint from
-    then on. The session's own setting is restored afterwards."""
+def state_partitions(spark, count: int | None = P.STATE_PARTITIONS):
+    """Size the state store (``count``, or one partition per core of the
+    cluster) while a job's checkpoint is created; the count is fixed in the
+    checkpoint from then on. The session's own setting is restored afterwards."""
     old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    spark.conf.set("spark.sql.shuffle.partitions", str(count or spark.sparkContext.defaultParallelism))
     try:
         yield
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def time_slices(frames: list[DataFrame], n: int = SLICES, time_col: str = "timestamp"):
+def time_slices(frames: list[DataFrame], n: int = P.SLICES, time_col: str = "timestamp"):
     """Cut frames into ``n`` slices of equal time span over their common
     range; yields, per slice, the list of the frames' parts."""
     us = [f.select(F.unix_micros(time_col).alias("t")) for f in frames]

@@ -36,6 +36,8 @@ OTHER_DATABASE = "archive"
 CHANGE_TOPIC = "change_feed"
 CHANGE_TYPES = ["INSERT", "UPDATE", "DELETE"]
 CDC_DATABASE = "shop"
+#: Distinct values of the descriptive log fields, named by number.
+NAMED_VALUES = {"area": 25, "os": 3, "channel": 7, "version": 5}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +56,10 @@ def _pick(values: list[str], idx: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values) + 1).cast("int"))
 
 
+def _named(field: str, idx: Column) -> Column:
+    return F.concat(F.lit(f"{field}_"), (idx % NAMED_VALUES[field]).cast("string"))
+
+
 def _prop_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -69,10 +75,10 @@ def startup_struct(ev: DataFrame) -> Column:
     mid = F.concat(F.lit("mid_"), F.col("user_id").cast("string"))
     return F.struct(
         mid.alias("mid"), F.col("user_id").cast("string").alias("uid"),
-        F.lit(C.APP_ID).alias("appId"), _pick(C.AREAS, F.col("user_id")).alias("area"),
-        _pick(C.OSES, F.col("user_id")).alias("os"),
-        _pick(C.CHANNELS, F.col("event_id")).alias("channel"),
-        F.lit("startup").alias("logType"), _pick(C.VERSIONS, F.col("event_id")).alias("version"),
+        F.lit(C.APP_ID).alias("appId"), _named("area", F.col("user_id")).alias("area"),
+        _named("os", F.col("user_id")).alias("os"),
+        _named("channel", F.col("event_id")).alias("channel"),
+        F.lit("startup").alias("logType"), _named("version", F.col("event_id")).alias("version"),
         epoch_ms("ts").alias("ts"))
 
 
@@ -84,8 +90,8 @@ def event_struct(ev: DataFrame) -> Column:
     k = _prop_k()
     return F.struct(
         mid.alias("mid"), F.col("user_id").cast("string").alias("uid"),
-        F.lit(C.APP_ID).alias("appId"), _pick(C.AREAS, F.col("user_id")).alias("area"),
-        _pick(C.OSES, F.col("user_id")).alias("os"), F.lit("event").alias("logType"),
+        F.lit(C.APP_ID).alias("appId"), _named("area", F.col("user_id")).alias("area"),
+        _named("os", F.col("user_id")).alias("os"), F.lit("event").alias("logType"),
         eid.alias("eventId"), k.alias("pageId"), (k % 50 + 1).alias("nextPageId"),
         k.alias("itemId"), epoch_ms("ts").alias("ts"))
 

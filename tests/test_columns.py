@@ -55,3 +55,10 @@ def test_create_parts_null_safe(spark):
 def test_doc_id(spark):
     df = spark.createDataFrame([("mid_1", 1704067201000)], "mid string, ts long")
     assert df.select(X.doc_id("mid", "ts")).first()[0] == "mid_1_28401120"
+
+
+def test_div_trunc_of_large_longs(spark):
+    """Beyond the 53 bits of a double, toward zero on both sides."""
+    values = [2**63 - 1, -(2**63) + 1, 2**53 + 1, -7, 7, 0, None]
+    got = spark.createDataFrame([(v,) for v in values], "v long").select(X.div_trunc(F.col("v"), 3).alias("q")).collect()
+    assert [r.q for r in got] == [None if v is None else (abs(v) // 3) * (1 if v >= 0 else -1) for v in values]
