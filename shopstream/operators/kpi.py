@@ -63,22 +63,36 @@ def map_text(m: str = "hour_map") -> F.Column:
 
 def kpi_list(dau: DataFrame, orders: DataFrame, date: str) -> DataFrame:
     """The three KPI rows (U1): (pos, id, name, value) as text (P25)."""
-    d = dau_total(dau, date).select(
-        F.lit(1).alias("pos"), F.lit(C.KPI_DAU[0]).alias("id"), F.lit(C.KPI_DAU[1]).alias("name"),
-        F.col("dau").cast("string").alias("value"))
-    spark = dau.sparkSession
-    n = spark.range(1).select(
-        F.lit(2).alias("pos"), F.lit(C.KPI_NEW_MID[0]).alias("id"),
-        F.lit(C.KPI_NEW_MID[1]).alias("name"), F.lit(C.KPI_NEW_MID_VALUE).alias("value"))
-    a = amount_total(orders, date).select(
-        F.lit(3).alias("pos"), F.lit(C.KPI_ORDER_AMOUNT[0]).alias("id"),
-        F.lit(C.KPI_ORDER_AMOUNT[1]).alias("name"), F.col("order_amount").cast("string").alias("value"))
-    return d.unionByName(n).unionByName(a)
-
-
-def kpi_json(kpis: DataFrame) -> DataFrame:
-    """The KPI list as one JSON array document (K12), in list order."""
+    return kpi_lists(dau, orders, [date]).drop("date")
+
+
+def kpi_lists(dau: DataFrame, orders: DataFrame, dates: list[str]) -> DataFrame:
+    """The KPI rows of several days, (date, pos, id, name, value), from one
+    scan of each table; the days prune its partitions."""
+    if "create_month" in orders.columns:
+        orders = orders.filter(F.col("create_month").isin(sorted({d[:7] for d in dates})))
+    day, money = F.col("create_date"), F.col("total_amount").cast(MONEY)
+    counts = dau.filter(F.col("logdate").isin(dates)).agg(
+        *[F.count_if(F.col("logdate") == d).alias(f"v{i}") for i, d in enumerate(dates)])
+    sums = orders.filter(day.isin(dates)).agg(
+        *[F.coalesce(F.sum(F.when(day == d, money)), F.lit(0).cast(MONEY)).cast("double").alias(f"v{i}")
+          for i, d in enumerate(dates)])
+
+    def rows(pos: int, kpi: tuple[str, str], value: F.Column | None = None) -> list[F.Column]:
+        return [F.struct(F.lit(d).alias("date"), F.lit(pos).alias("pos"), F.lit(kpi[0]).alias("id"),
+                         F.lit(kpi[1]).alias("name"),
+                         (F.col(f"v{i}").cast("string") if value is None else value).alias("value"))
+                for i, d in enumerate(dates)]
+
+    devices = rows(1, C.KPI_DAU) + rows(2, C.KPI_NEW_MID, F.lit(C.KPI_NEW_MID_VALUE))
+    return counts.select(F.inline(F.array(*devices))).unionByName(
+        sums.select(F.inline(F.array(*rows(3, C.KPI_ORDER_AMOUNT)))))
+
+
+def kpi_json(kpis: DataFrame, *by: str) -> DataFrame:
+    """The KPI list as one JSON array document (K12), in list order; one for
+    each value of ``by``."""
     items = F.array_sort(F.collect_list(F.struct("pos", "id", "name", "value")))
     doc = F.to_json(F.transform(items, lambda r: F.struct(r["id"].alias("id"), r["name"].alias("name"),
                                                           r["value"].alias("value"))))
-    return kpis.agg(doc.alias("json"))
+    return kpis.groupBy(*by).agg(doc.alias("json"))

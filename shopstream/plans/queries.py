@@ -195,17 +195,13 @@ def _kpis(spark, sf):
 def q_kpi_total(spark, sf):
     pin_utc(spark)
     dau, orders = _kpis(spark, sf)
-    return kpi.kpi_list(dau, orders, P.DAU_DATE).unionByName(
-        kpi.kpi_list(dau, orders, P.ORDER_DATE)).select(
-        F.col("pos"), "id", "name", "value")
+    return kpi.kpi_lists(dau, orders, [P.DAU_DATE, P.ORDER_DATE]).drop("date")
 
 
 def q_kpi_total_json(spark, sf):
     pin_utc(spark)
     dau, orders = _kpis(spark, sf)
-    a = kpi.kpi_json(kpi.kpi_list(dau, orders, P.DAU_DATE)).select(F.lit(P.DAU_DATE).alias("date"), "json")
-    b = kpi.kpi_json(kpi.kpi_list(dau, orders, P.ORDER_DATE)).select(F.lit(P.ORDER_DATE).alias("date"), "json")
-    return a.unionByName(b)
+    return kpi.kpi_json(kpi.kpi_lists(dau, orders, [P.DAU_DATE, P.ORDER_DATE]), "date")
 
 
 # ------------------------------------------------------------- sinks

@@ -68,3 +68,7 @@ def test_kpi_empty_date(spark):
     assert [d["id"] for d in doc] == ["dau", "new_mid", "order_amount"]
     m = kpi.as_map(kpi.amount_by_hour(orders, "2024-01-01"), "create_hour", "order_amount")
     assert m.select(kpi.map_text()).first()[0] == "10:1.5"
+    both = kpi.kpi_lists(dau, orders, ["2024-01-01", "2024-01-02"])
+    assert [r[1:] for r in both.where("date = '2024-01-01'").orderBy("pos").collect()] == [tuple(r) for r in lst]
+    assert [r.value for r in both.where("date = '2024-01-02'").orderBy("pos").collect()] == ["0", "233", "0.0"]
+    assert {r.date for r in kpi.kpi_json(both, "date").collect()} == {"2024-01-01", "2024-01-02"}
