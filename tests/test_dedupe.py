@@ -95,3 +95,11 @@ def test_kpi_filters_reach_the_partitions(spark):
                        (kpi.amount_total(Q.stored_orders(spark, sf), "1996-06-15"), "create_month")):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert f"PartitionFilters: [isnotnull({col}" in plan, plan
+
+
+def test_kpis_of_several_days_scan_each_table_once(spark):
+    """Two days' KPI lists read each stored table in one pruned scan."""
+    from shopstream.plans import queries as Q
+    plan = Q.q_kpi_total(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    pruned = [line.split("PartitionFilters: [")[1] for line in plan.split("\n") if "FileScan" in line]
+    assert len(pruned) == 2 and pruned[0].startswith("logdate") and pruned[1].startswith("create_month"), plan
