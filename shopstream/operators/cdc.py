@@ -66,5 +66,7 @@ def to_topics(changes: DataFrame, **kw) -> DataFrame:
 
 def parse_changes(lines: DataFrame) -> DataFrame:
     """Change records from the JSON lines of a feed, with the arrival time. A
-    line that is no record has no table and passes no filter."""
-    return lines.select(F.from_json("value", S.CHANGE_SCHEMA).alias("c"), "timestamp").select("c.*", "timestamp")
+    line that is no record has no table and passes no filter. A generator emits
+    the record, so the filters stay above it and each line is parsed once."""
+    record = F.from_json("value", S.CHANGE_SCHEMA)
+    return lines.select("timestamp", F.inline(F.array(F.struct(record.alias("c"))))).select("c.*", "timestamp")
