@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from shopstream import schemas as S
 from shopstream.operators import cdc, joins
 from shopstream.plans import queries as Q
 from shopstream.plans import streamed
@@ -55,6 +56,20 @@ def test_change_lines_are_parsed_once(spark):
     assert plan.count("from_json") + plan.count("jsontostructs") == 1
 
 
+def test_upsert_roundtrip_parses_once(spark, monkeypatch):
+    whole = [c for c in S.ORDER_INFO_FIELDS if c not in ("id", "create_time")]
+    infos, made = _counted(spark, spark.createDataFrame(
+        [(str(i), f"1997-0{m}-01 {h}:00:00", f"1997-0{m}-01", f"1997-0{m}", h, dt.datetime(1997, m, 1))
+         for i, (m, h) in enumerate([(1, "07"), (1, "09"), (2, "15"), (2, "17")])],
+        "id string, create_time string, create_date string, create_month string, create_hour string, timestamp timestamp"),
+        "create_date")
+    infos = infos.select("*", *[F.lit(None).cast("string").alias(c) for c in whole])
+    monkeypatch.setattr(Q, "order_infos", lambda *a: infos)
+    got = rows(Q.q_sink_upsert_roundtrip(spark, ""), "id", "create_hour")
+    assert made.value == 4
+    assert got == [("0", "07"), ("1", "09"), ("2", "15"), ("3", "17")]
+
+
 def test_append_roundtrip_joins_once(spark, monkeypatch):
     infos = spark.createDataFrame(
         [(str(i), "1001", f"{y}-01-01 00:00:00", "u", dt.datetime(y, 1, 1)) for i, y in enumerate((1997, 1998, 1999))],

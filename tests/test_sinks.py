@@ -267,3 +267,18 @@ def test_hot_order_is_split_by_both_outer_joins(spark, hot=4000):
     assert got == sorted(want, key=key)
     assert alone == sorted([("order_detail", d, o) for d, o in lines if o not in heads]
                            + [("order_info", h, h) for h in heads - {o for _, o in lines}])
+
+
+def test_a_batch_writes_few_files(spark):
+    """A partition's rows meet in one task, whatever tasks reduced the keys."""
+    base, coalesce = scratch_path(spark, "t_files"), "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        put(spark, base, 0, *[(f"k{i}", i, [None, "d1", "d2"][i % 3]) for i in range(60)])
+    finally:
+        spark.conf.set(coalesce, old)
+    files = [f for s in M.children(spark, f"{base}/data") for p in M.children(spark, s.getPath().toString())
+             if p.isDirectory() for f in M.children(spark, p.getPath().toString()) if f.getPath().getName().endswith(".parquet")]
+    assert len(files) == 3
+    assert len(read(spark, base)) == 60
