@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shopstream.llm import block_dedup, line_dedup, suffix_array, suffix_dedup
+from shopstream.llm import block_dedup, exchange, line_dedup, suffix_array, suffix_dedup
 from shopstream.session import materialise
 
 NULL = -2**63
@@ -218,3 +218,12 @@ def test_suffix_dedup_of_a_text_of_64_mb_in_bounded_memory():
         runs = suffix_dedup.Runs(data, np.array([0, len(data)]), 50)
         assert len(runs.side) > 0
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400 << 10
+
+
+def test_anchor_keys_spread_over_ranges():
+    """Anchors are the smallest hashes of their strings; as keys they must not crowd into the lowest range."""
+    data = np.random.default_rng(5).integers(97, 123, 400_000).astype(np.uint8)
+    runs = suffix_dedup.Runs(data, np.array([0, len(data)]), 50, sides=False)
+    ranges = exchange.Ranges(16 * exchange.RANGE_KEYS)
+    sizes = np.diff(ranges.cuts(np.unique(runs.gram), 64))
+    assert len(sizes) == 16 and sizes.max() < 1.2 * sizes.mean()
