@@ -1,12 +1,15 @@
 """State that holds rows is cut into partitions by its rows, and executors keep
-only the partitions at work."""
+only the partitions at work; a join's slices arrive in parts."""
 
 import datetime as dt
+import json
 import os
 
 from pyspark.sql import functions as F
 
+from shopstream.operators import joins, parse
 from shopstream.plans import streamed
+from shopstream.streaming import jobs
 from shopstream.streaming.ttl_buffer import ttl_buffer
 
 from .conftest import rows
@@ -36,3 +39,33 @@ def test_row_state_settings_hold_inside_only(spark):
     with streamed.row_state(spark, topics):
         assert spark.conf.get(UNLOAD) == "true"
     assert spark.conf.get(UNLOAD, "false") == "false"
+
+
+def test_parts_are_bounded_and_in_order():
+    counts = {0: 5, 1: 5, 2: 9, 2000: 30, 4095: 1}
+    parts = streamed._parts(counts, 4, 10)
+    assert [p for p, _ in parts] == sorted(p for p, _ in parts) and [s for _, s in parts] == sorted(s for _, s in parts)
+    assert {s for _, s in parts} == {0, 1, 2, 3}
+    ends = [p for p, _ in parts[1:]] + [streamed.STEPS]
+    held = [[c for s, c in counts.items() if a <= s < b] for (a, _), b in zip(parts, ends)]
+    assert sum(map(len, held)) == len(counts) and all(sum(h) <= 10 or len(h) == 1 for h in held)
+
+
+def test_a_joins_slice_arrives_in_parts(spark, monkeypatch):
+    """Lines that meet an earlier header, a later one, none, and without a
+    time; more rows than a batch takes, so that several parts make a slice."""
+    day = dt.timedelta(days=1)
+    info = [(None, json.dumps({"id": f"o{k}"}), "t", T0 + k * day) for k in range(0, 200, 2)] + [(None, '{"id":"n"}', "t", None)]
+    line = [(None, json.dumps({"id": f"l{k}", "order_id": f"o{k}"}), "t", T0 + (k + (k % 80) - 40) * day) for k in range(200)]
+    topics = {"info": spark.createDataFrame(info, TOPIC), "detail": spark.createDataFrame(line, TOPIC)}
+    sides = (parse.parse_order_info(topics["info"]), parse.parse_order_detail(topics["detail"]))
+    batches, wait = [], jobs.run_until_done
+    monkeypatch.setattr(streamed, "CORE_ROWS", 5)
+    monkeypatch.setattr(streamed, "_order_topics", lambda *a: topics)
+    monkeypatch.setattr(streamed.jobs, "run_until_done", lambda q: batches.append(
+        [p.numInputRows for p in q.recentProgress if p.numInputRows]) or wait(q))
+    got = streamed.q_sale_join_stream(spark, "").select("order_detail_id", "order_id")
+    assert rows(got) == rows(joins.interval_join(*sides, streamed.P.JOIN_INTERVAL).select("order_detail_id", "order_id"))
+    assert len(batches) == streamed.P.SLICES and all(len(b) > 1 for b in batches) and max(map(max, batches)) <= 25
+    alone = rows(streamed.q_sale_unmatched_stream(spark, ""), "side", "id", "order_id")
+    assert alone == rows(joins.orphans(*sides, streamed.P.JOIN_INTERVAL).where("id != 'n'"), "side", "id", "order_id")
