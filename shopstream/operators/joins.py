@@ -112,8 +112,9 @@ def expired(info: DataFrame, detail: DataFrame, interval: str = C.JOIN_TTL,
             info_time: str = "timestamp", detail_time: str = "timestamp") -> DataFrame:
     """J6 on two watermarked streams: an outer join, whose rows without a
     partner come when the watermark passes their interval."""
-    i = _info(info, info_time).withColumn("has_info", F.lit(True))
-    d = _detail(detail, detail_time).withColumn("has_detail", F.lit(True))
+    i = info.select(F.col("id").alias("i_id"), F.col(info_time).alias("i_time"), F.lit(True).alias("has_info"))
+    d = detail.select(F.col("id").alias("d_id"), F.col("order_id").alias("d_order_id"), F.col(detail_time).alias("d_time"),
+                      F.lit(True).alias("has_detail"))
     cond = (F.col("i_id") == F.col("d_order_id")) & within(interval)
     lone = i.join(d, cond, "full_outer").where(F.col("has_info").isNull() | F.col("has_detail").isNull())
     is_info = F.col("has_info").isNotNull()
