@@ -5,8 +5,10 @@ import datetime as dt
 import json
 import os
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from shopstream.llm import suffix_dedup
 from shopstream.operators import joins, parse
 from shopstream.plans import streamed
 from shopstream.streaming import jobs
@@ -69,3 +71,16 @@ def test_a_joins_slice_arrives_in_parts(spark, monkeypatch):
     assert len(batches) == streamed.P.SLICES and all(len(b) > 1 for b in batches) and max(map(max, batches)) <= 25
     alone = rows(streamed.q_sale_unmatched_stream(spark, ""), "side", "id", "order_id")
     assert alone == rows(joins.orphans(*sides, streamed.P.JOIN_INTERVAL).where("id != 'n'"), "side", "id", "order_id")
+
+
+def test_a_worker_gets_a_few_shards_at_once(spark):
+    """A partition of 24 MB comes in batches of a few MB, not as one."""
+    shards = spark.range(24, numPartitions=1).select(F.repeat(F.lit("x"), 1 << 20).cast("binary").alias("blob"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    with suffix_dedup._small_batches(spark):
+        got = [r["n"] for r in shards.mapInArrow(sizes, "n long").collect()]
+    assert sum(got) >= 24 << 20 and max(got) <= 6 << 20
